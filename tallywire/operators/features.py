@@ -8,6 +8,7 @@ larger ones are handled by counting (see functions.quantiles).
 
 from __future__ import annotations
 
+from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tallywire import names
@@ -216,3 +217,32 @@ def _extra_columns() -> list[Column]:
 def scrubbed(features: DataFrame, columns: list[str]) -> DataFrame:
     """NaN, infinity and NULL to zero in the feature columns."""
     return features.withColumns({c: finite_or_zero(c) for c in columns})
+
+
+def raw_event_features(events: DataFrame, label: str = "type") -> DataFrame:
+    """The six raw event columns as doubles; no components, no shuffle."""
+    return events.select(
+        KEY, class_code(label).alias("label"), *[F.col(c).cast("double").alias(c) for c in names.FEATURES_V1]
+    )
+
+
+def component_counts(events: DataFrame, components: DataFrame) -> DataFrame:
+    """Components per event, zero where there are none."""
+    counts = components.groupBy(KEY).agg(F.count("*").alias("n"))
+    n = F.coalesce("n", F.lit(0))
+    return events.select(KEY).join(counts, KEY, "left").select(
+        KEY, n.alias("n_components"), F.log1p(n.cast("double")).alias("log1p_n_components"),
+        flag(n == 1).alias("is_single_sample"),
+    )
+
+
+def concat_blocks(left: DataFrame, *others: DataFrame) -> DataFrame:
+    """Feature blocks side by side, aligned on the event key."""
+    out = left
+    for block in others:
+        out = out.join(block, KEY)
+    return out
+
+
+def assembled(features: DataFrame, columns: list[str], into: str = "features") -> DataFrame:
+    return VectorAssembler(inputCols=columns, outputCol=into, handleInvalid="error").transform(features)
