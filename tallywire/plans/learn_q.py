@@ -1,11 +1,15 @@
 """Queries for neighbours, resampling, mixtures and models."""
 
-from pyspark.sql import functions as F
+import numpy as np
+from pyspark.sql import DataFrame, functions as F
 
 from tallywire import names
-from tallywire.operators import neighbours, resample
-from tallywire.plans.features_q import rounded, round_sql
+from tallywire.functions.expressions import class_code
+from tallywire.operators import learn, metrics, mixture, neighbours, resample
+from tallywire.plans.features_q import LABEL_SQL, ab, round_sql, rounded
 from tallywire.plans.registry import query, share
+from tallywire.plans.tables import events
+from tallywire.session import materialize
 
 share("vecs", "SELECT vec_id AS id, label, CAST(embedding AS DOUBLE[]) AS vec FROM embeddings")
 share("nn", """SELECT q, qlabel, id, label, d, row_number() OVER (PARTITION BY q ORDER BY d, id) AS rn FROM
@@ -70,3 +74,180 @@ copies AS (SELECT v.*, s.n, CAST(round_even(f.r / sum(f.r) OVER (PARTITION BY v.
 {_DRAWN} {_BLENDED.replace("JOIN nnc x ON x.q = b.id AND x.rn = b.rank JOIN vecs o", "JOIN mnn x ON x.q = b.id AND x.label = x.qlabel AND x.own_rn = b.rank JOIN mvecs o")}""")
 def ml_adasyn(spark, sf_dir):
     return _shown(resample.adasyn(vectors(spark, sf_dir).withColumn("label", F.expr(_MIXED.format(id="id")))))
+
+
+AB = names.FEATURES_AB
+K = 2  # components per class of the given mixtures
+share("trainab", "SELECT * FROM fab WHERE split = 'train'")
+share("scl", "SELECT {} FROM trainab".format(", ".join(
+    f"avg({c}) AS m_{c}, CASE WHEN stddev_pop({c}) > 1e-12 * greatest(1, abs(avg({c}))) THEN stddev_pop({c}) ELSE 1 END AS s_{c}" for c in AB)))
+share("scaledab", "SELECT f.attack_id, f.split, f.label, {} FROM fab f CROSS JOIN scl".format(
+    ", ".join(f"(f.{c} - m_{c}) / s_{c} AS {c}" for c in AB)))
+share("scaledlong", f"SELECT attack_id, split, label, f, z FROM scaledab UNPIVOT (z FOR f IN ({', '.join(AB)}))")
+# Given mixtures: in every class the training rows with even and odd id are the components.
+share("gmp", """SELECT label AS c, attack_id % 2 AS k, f, avg(z) AS m, var_pop(z) + 0.0001::DOUBLE AS v FROM scaledlong WHERE split = 'train' GROUP BY 1, 2, 3""")
+share("gmw", """SELECT label AS c, attack_id % 2 AS k, count(*) / CAST(sum(count(*)) OVER (PARTITION BY label) AS DOUBLE) AS w FROM trainab GROUP BY 1, 2""")
+share("gml", """SELECT s.attack_id, any_value(s.label) AS label, any_value(s.split) AS split, p.c, p.k,
+ ln(any_value(w.w)) - 0.5 * sum(ln(2 * pi() * p.v) + (s.z - p.m) ** 2 / p.v) AS lj
+FROM scaledlong s JOIN gmp p ON s.f = p.f JOIN gmw w ON w.c = p.c AND w.k = p.k GROUP BY s.attack_id, p.c, p.k""")
+share("gmll", """SELECT attack_id, label, split, c, k, lj, max(lj) OVER w + ln(sum(exp(lj - t)) OVER w) AS ll FROM
+ (SELECT *, max(lj) OVER (PARTITION BY attack_id, c) AS t FROM gml) WINDOW w AS (PARTITION BY attack_id, c)""")
+share("gmm", "SELECT attack_id, {} FROM gmll GROUP BY attack_id".format(
+    ", ".join(f"max(exp(lj - ll)) FILTER (c = {c} AND k = {k}) AS gmm_c{c}_k{k}" for c in range(3) for k in range(K))))
+_MEMBERS = [f"gmm_c{c}_k{k}" for c in range(3) for k in range(K)]
+
+
+def features_of(spark, sf_dir, blocks=("ab",)):
+    return ab(spark, sf_dir, blocks=blocks, keep=("split",)).drop("type")
+
+
+_STORED: dict[tuple, DataFrame] = {}
+
+
+def stored_features(spark, sf_dir, blocks=("ab", "extras", "v1")):
+    """The feature table, written once per session and reused by the model queries."""
+    key = (spark.sparkContext.applicationId, sf_dir, blocks)
+    if key not in _STORED:
+        _STORED[key] = materialize(features_of(spark, sf_dir, blocks))
+    return _STORED[key]
+
+
+def training(df):
+    return df.filter("split = 'train'")
+
+
+@query("ml_scale", f"SELECT attack_id, {round_sql(AB, 5)} FROM scaledab")
+def ml_scale(spark, sf_dir):
+    df = features_of(spark, sf_dir)
+    scaler = learn.Scaler.fit(training(df), AB)
+    return rounded(df.select("attack_id", *scaler.scaled()), 5)
+
+
+def _weights(spark, weights):
+    return spark.createDataFrame([(int(c), float(w)) for c, w in weights.items()], "label int, weight double")
+
+
+@query("ml_weights_balanced", f"""SELECT {LABEL_SQL} AS label, round((SELECT count(*) FROM evtrain) / (3.0::DOUBLE * count(*)), 6) AS weight
+FROM evtrain e GROUP BY 1""")
+def ml_weights_balanced(spark, sf_dir):
+    return rounded(_weights(spark, learn.balanced_weights(_train_counts(spark, sf_dir))))
+
+
+@query("ml_weights_prior", f"""WITH r AS (SELECT {LABEL_SQL} AS label, CASE {LABEL_SQL} WHEN 0 THEN 0.9014::DOUBLE WHEN 1 THEN 0.0649::DOUBLE ELSE 0.0337::DOUBLE END
+ / (count(*) / CAST((SELECT count(*) FROM evtrain) AS DOUBLE)) AS w FROM evtrain e GROUP BY 1) SELECT label, round(w / avg(w) OVER (), 4) AS weight FROM r""")
+def ml_weights_prior(spark, sf_dir):
+    return _weights(spark, learn.prior_weights(_train_counts(spark, sf_dir)))
+
+
+def _train_counts(spark, sf_dir):
+    return learn.class_counts(training(events(spark, sf_dir)).select(class_code("type").alias("label")))
+
+
+@query("ml_majority", f"""WITH t AS (SELECT {LABEL_SQL} AS label, count(*) AS n FROM evtrain e GROUP BY 1 ORDER BY n DESC, label LIMIT 1)
+SELECT e.attack_id, {LABEL_SQL} AS y_true, t.label AS y_pred FROM ev e CROSS JOIN t WHERE e.split <> 'train'""")
+def ml_majority(spark, sf_dir):
+    said = learn.majority_class(_train_counts(spark, sf_dir))
+    held = events(spark, sf_dir).filter("split <> 'train'")
+    return held.select("attack_id", class_code("type").alias("y_true"), F.lit(said).alias("y_pred"))
+
+
+def given_mixtures(spark, sf_dir):
+    """Mixtures whose parameters are plain statistics of the training rows."""
+    df = features_of(spark, sf_dir)
+    scaler = learn.Scaler.fit(training(df), AB)
+    scaled = df.select("attack_id", "split", "label", *scaler.scaled())
+    stats = training(scaled).groupBy("label", (F.col("attack_id") % K).alias("k")).agg(
+        F.count("*").alias("n"), F.array(*[F.avg(c) for c in AB]).alias("m"), F.array(*[F.var_pop(c) for c in AB]).alias("v"))
+    parts = {}
+    for r in sorted(stats.collect(), key=lambda r: (r["label"], r["k"])):  # one row per component
+        parts.setdefault(r["label"], []).append(r)
+    mixtures = {
+        c: mixture.Mixture(np.array([r["n"] for r in rs]) / sum(r["n"] for r in rs), np.array([r["m"] for r in rs]),
+                           np.array([r["v"] for r in rs]) + mixture.FLOOR)
+        for c, rs in parts.items()
+    }
+    return scaled, mixtures
+
+
+@query("feat_member", f"SELECT attack_id, {round_sql(_MEMBERS)} FROM gmm")
+def feat_member(spark, sf_dir):
+    scaled, mixtures = given_mixtures(spark, sf_dir)
+    shares = scaled.select("attack_id", mixture.memberships(F.array(*AB), mixtures).alias("s"))
+    return rounded(shares.select("attack_id", *[F.get("s", F.lit(i)).alias(n) for i, n in enumerate(mixture.column_names(mixtures))]))
+
+
+@query("feat_ood", f"""WITH s AS (SELECT attack_id, [{", ".join(_MEMBERS)}] AS s, {" + ".join(_MEMBERS)} AS t FROM gmm)
+SELECT attack_id, round(list_max(s), 6) AS gmm_max_prob, round(-list_sum(list_transform(s, lambda x: x / t * ln(x / t + 1e-12))), 6) AS gmm_entropy FROM s""")
+def feat_ood(spark, sf_dir):
+    scaled, mixtures = given_mixtures(spark, sf_dir)
+    shares = scaled.select("attack_id", mixture.memberships(F.array(*AB), mixtures).alias("s"))
+    return rounded(shares.select("attack_id", mixture.best_membership("s").alias("gmm_max_prob"), mixture.entropy("s").alias("gmm_entropy")))
+
+
+@query("ml_gmm_bic", f"""SELECT label, {K} AS size, round(-2 * sum(ll) + ({2 * K * len(AB) + K - 1}) * ln(count(*)), 3) AS bic FROM
+ (SELECT DISTINCT attack_id, label, ll FROM gmll WHERE c = label AND split = 'train') GROUP BY label""")
+def ml_gmm_bic(spark, sf_dir):
+    scaled, mixtures = given_mixtures(spark, sf_dir)
+    rows = training(scaled).select("label", F.array(*AB).alias("vec"))
+    table = mixture.bic_table(rows, {(c, m.size): m for c, m in mixtures.items()})
+    return rounded(spark.createDataFrame(table, "label int, size int, bic double"), 3)
+
+
+@query("ml_gmm")
+def ml_gmm(spark, sf_dir):
+    """Mixtures fitted per class on the training rows; memberships of all events."""
+    df = stored_features(spark, sf_dir)
+    scaler = learn.Scaler.fit(training(df), AB)
+    rows = training(df).select(F.col("attack_id").alias("id"), "label", scaler.vector().alias("vec"))
+    mixtures = mixture.fit_per_class(rows)
+    return rounded(df.select("attack_id", mixture.memberships(scaler.vector(), mixtures).alias("s")).select(
+        "attack_id", F.size("s").alias("width"), mixture.best_membership("s").alias("gmm_max_prob"), mixture.entropy("s").alias("gmm_entropy")))
+
+
+@query("ml_pca")
+def ml_pca(spark, sf_dir):
+    """Explained variance per axis, single and cumulative, in percent."""
+    projection = learn.fit_projection(events(spark, sf_dir), names.PROFILE_COLUMNS)
+    rows, total = [], 0.0
+    for i, v in enumerate(projection.explained, start=1):
+        total += v
+        rows.append((i, v * 100, total * 100))
+    return rounded(spark.createDataFrame(rows, "axis int, pct double, cum_pct double"))
+
+
+def _scores(suite, held, models=None):
+    said = suite.predictions(held, models).join(held.select("attack_id", F.col("split").alias("dataset")), "attack_id")
+    return rounded(metrics.overall(metrics.confusion(said, ["model", "dataset"]), ["model", "dataset"]), 4)
+
+
+def _single(spark, sf_dir, name):
+    df = stored_features(spark, sf_dir)
+    suite = learn.fit_suite(training(df), AB, models=[name])
+    return _scores(suite, df.filter("split <> 'train'"))
+
+
+@query("ml_logreg")
+def ml_logreg(spark, sf_dir):
+    return _single(spark, sf_dir, "Logistic Regression")
+
+
+@query("ml_tree")
+def ml_tree(spark, sf_dir):
+    return _single(spark, sf_dir, "Decision Tree")
+
+
+@query("ml_forest")
+def ml_forest(spark, sf_dir):
+    return _single(spark, sf_dir, "Random Forest")
+
+
+@query("ml_gbt")
+def ml_gbt(spark, sf_dir):
+    return _single(spark, sf_dir, "Gradient Boosting")
+
+
+@query("ml_proba")
+def ml_proba(spark, sf_dir):
+    df = stored_features(spark, sf_dir)
+    suite = learn.fit_suite(training(df), AB, models=["Decision Tree"])
+    return rounded(suite.probabilities("Decision Tree", df.filter("split <> 'train'")))
