@@ -104,7 +104,8 @@ def estimator(name: str, weight_sum: float, s: Settings):
         return DecisionTreeClassifier(maxDepth=s.tree_depth, weightCol="weight", seed=s.seed, maxBins=s.bins)
     if name == "Random Forest":
         return RandomForestClassifier(
-            numTrees=s.forest_trees, maxDepth=s.forest_depth, weightCol="weight", seed=s.seed, maxBins=s.bins)
+            numTrees=s.forest_trees, maxDepth=s.forest_depth, weightCol="weight", seed=s.seed, maxBins=s.bins,
+            maxMemoryInMB=1024)
     if name == "Gradient Boosting":
         one = GBTClassifier(maxIter=s.gbt_rounds, maxDepth=s.gbt_depth, stepSize=s.gbt_rate, maxBins=s.bins, seed=s.seed)
         return OneVsRest(classifier=one, weightCol="weight", parallelism=len(names.CLASSES))
@@ -151,6 +152,18 @@ class Suite:
         return out
 
 
+_LEAST_ROWS, _MOST_ROWS = 2_000, 100_000
+
+
+def _spread(table: DataFrame, rows: int) -> DataFrame:
+    """A small table sits in few partitions, but fitting is bound by computing: use the
+    cores, with enough rows in each. A large one has enough partitions already."""
+    cores = table.sparkSession.sparkContext.defaultParallelism
+    if rows > cores * _MOST_ROWS:
+        return table
+    return table.repartition(max(1, min(cores, -(-rows // _LEAST_ROWS))))
+
+
 def fit_suite(
     train: DataFrame, columns: list[str], weights: dict[int, float] | None = None,
     models: list[str] = names.MODELS, settings: Settings | None = None, key: str = "attack_id",
@@ -164,7 +177,7 @@ def fit_suite(
     counts = class_counts(train)
     weights = weights or balanced_weights(counts)
     scaler = Scaler.fit(train, columns)
-    table = model_table(train, scaler, weights)
+    table = _spread(model_table(train, scaler, weights), sum(counts.values()))
     table.persist()
     weight_sum = sum(weights[c] * n for c, n in counts.items())
     fitted, seconds = {}, {}

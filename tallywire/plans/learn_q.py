@@ -8,8 +8,11 @@ from tallywire.functions.expressions import class_code
 from tallywire.operators import learn, metrics, mixture, neighbours, resample
 from tallywire.plans.features_q import LABEL_SQL, ab, round_sql, rounded
 from tallywire.plans.registry import query, share
-from tallywire.plans.tables import events
-from tallywire.session import materialize
+from tallywire.plans.tables import EV, ST, components, events, stream
+from tallywire.session import materialize, scratch_path
+from tallywire.sources import modelstore
+from tallywire.streaming import live
+from tallywire.streaming.windows import first_instant, window_records, windowed
 
 share("vecs", "SELECT vec_id AS id, label, CAST(embedding AS DOUBLE[]) AS vec FROM embeddings")
 share("nn", """SELECT q, qlabel, id, label, d, row_number() OVER (PARTITION BY q ORDER BY d, id) AS rn FROM
@@ -215,39 +218,157 @@ def ml_pca(spark, sf_dir):
     return rounded(spark.createDataFrame(rows, "axis int, pct double, cum_pct double"))
 
 
-def _scores(suite, held, models=None):
-    said = suite.predictions(held, models).join(held.select("attack_id", F.col("split").alias("dataset")), "attack_id")
-    return rounded(metrics.overall(metrics.confusion(said, ["model", "dataset"]), ["model", "dataset"]), 4)
+_FITTED: dict[tuple, learn.Suite] = {}
 
 
-def _single(spark, sf_dir, name):
-    df = stored_features(spark, sf_dir)
-    suite = learn.fit_suite(training(df), AB, models=[name])
-    return _scores(suite, df.filter("split <> 'train'"))
+def fitted(spark, sf_dir, name, strategy="none", settings=None):
+    """One model on the training rows. Fitting is the costly part, so within a session
+    every query that shows this model uses the same fit."""
+    settings = settings or learn.Settings()
+    key = (spark.sparkContext.applicationId, sf_dir, name, strategy, str(settings))
+    if key not in _FITTED:
+        train = training(stored_features(spark, sf_dir)) if strategy == "none" else resampled_training(spark, sf_dir, strategy)
+        _FITTED[key] = learn.fit_suite(train, AB, models=[name], settings=settings)
+    return _FITTED[key]
+
+
+def held_out(spark, sf_dir):
+    return stored_features(spark, sf_dir).filter("split <> 'train'")
+
+
+def _scored(spark, sf_dir, names_, strategy="none", settings=None):
+    held = held_out(spark, sf_dir)
+    said = None
+    for name in names_:
+        part = fitted(spark, sf_dir, name, strategy, settings).predictions(held)
+        said = part if said is None else said.unionByName(part)
+    said = said.join(held.select("attack_id", F.col("split").alias("dataset")), "attack_id")
+    return rounded(metrics.overall(metrics.confusion(said, ["model", "dataset"]), ["model", "dataset"]), 4)
 
 
 @query("ml_logreg")
 def ml_logreg(spark, sf_dir):
-    return _single(spark, sf_dir, "Logistic Regression")
+    return _scored(spark, sf_dir, ["Logistic Regression"])
 
 
 @query("ml_tree")
 def ml_tree(spark, sf_dir):
-    return _single(spark, sf_dir, "Decision Tree")
+    return _scored(spark, sf_dir, ["Decision Tree"])
 
 
 @query("ml_forest")
 def ml_forest(spark, sf_dir):
-    return _single(spark, sf_dir, "Random Forest")
+    return _scored(spark, sf_dir, ["Random Forest"])
 
 
 @query("ml_gbt")
 def ml_gbt(spark, sf_dir):
-    return _single(spark, sf_dir, "Gradient Boosting")
+    return _scored(spark, sf_dir, ["Gradient Boosting"])
 
 
 @query("ml_proba")
 def ml_proba(spark, sf_dir):
+    return rounded(fitted(spark, sf_dir, "Decision Tree").probabilities("Decision Tree", held_out(spark, sf_dir)))
+
+
+@query("ml_train_suite")
+def ml_train_suite(spark, sf_dir):
+    """All five models over one feature set, scored on both held-out splits."""
+    return _scored(spark, sf_dir, names.MODELS)
+
+
+_RESAMPLED: dict[tuple, DataFrame] = {}
+
+
+def resampled_training(spark, sf_dir, strategy):
+    """Training rows with the new rows of the strategy. The blend runs on the feature
+    columns as they are, before any scaling."""
+    key = (spark.sparkContext.applicationId, sf_dir, strategy)
+    if key not in _RESAMPLED:
+        rows = training(stored_features(spark, sf_dir)).select(
+            F.col("attack_id").alias("id"), "label", F.array(*AB).alias("vec"))
+        more = resample.resampled(rows, strategy).withColumn("attack_id", F.monotonically_increasing_id())
+        _RESAMPLED[key] = materialize(more.select("attack_id", "label", *[F.get("vec", F.lit(i)).alias(c) for i, c in enumerate(AB)]))
+    return _RESAMPLED[key]
+
+
+# Fifteen fits: the two ensembles are kept smaller here than in the suite above.
+GRID = learn.Settings(gbt_rounds=20, forest_trees=20)
+
+
+@query("ml_resample_grid")
+def ml_resample_grid(spark, sf_dir):
+    out = None
+    for strategy in ("none", "smote", "adasyn"):
+        part = _scored(spark, sf_dir, names.MODELS, strategy, GRID).withColumn("resample", F.lit(strategy))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+@query("store_models")
+def store_models(spark, sf_dir):
+    """Store, load and use; a store of another feature version is trained anew."""
     df = stored_features(spark, sf_dir)
-    suite = learn.fit_suite(training(df), AB, models=["Decision Tree"])
-    return rounded(suite.probabilities("Decision Tree", df.filter("split <> 'train'")))
+    path = scratch_path(spark, "models")
+
+    def train():
+        scaler = learn.Scaler.fit(training(df), AB)
+        rows = training(df).select(F.col("attack_id").alias("id"), "label", scaler.vector().alias("vec"))
+        return fitted(spark, sf_dir, "Decision Tree"), mixture.fit_per_class(rows, sizes=(2,), max_iter=20)
+
+    modelstore.load_or_train(spark, path, train, version="older")
+    suite, mixtures, default = modelstore.load_or_train(spark, path, train)
+    said = suite.predictions(held_out(spark, sf_dir), [default])
+    scores = metrics.overall(metrics.confusion(said, ["model"]), ["model"])
+    return rounded(scores.withColumn("mixture_columns", F.lit(len(mixture.column_names(mixtures)))), 4)
+
+
+def _event_stream(spark, sf_dir, view):
+    table, columns = view
+    schema = spark.read.parquet(f"{sf_dir}/{table}.parquet").schema
+    return live.file_stream(spark, f"{sf_dir}/{table}*.parquet", schema, columns)
+
+
+@query("str_score")
+def str_score(spark, sf_dir):
+    """Every event, arriving as a stream, scored with the batch features and a tree."""
+    suite = fitted(spark, sf_dir, "Decision Tree")
+    path = scratch_path(spark, "scored")
+    live.score_stream(_event_stream(spark, sf_dir, EV), components(spark, sf_dir), suite, "Decision Tree",
+                      path, live.checkpoint_path(spark, "score"))
+    return rounded(spark.read.parquet(path).drop("scored_at", "batch"))
+
+
+@query("str_totals", """SELECT count(*) AS total_events, count(*) FILTER (y_pred = 2) AS total_ddos_detected,
+ count(*) FILTER (y_true = 2) AS total_ddos_actual, count(*) FILTER (y_true = y_pred) AS total_correct FROM st""")
+def str_totals(spark, sf_dir):
+    path = scratch_path(spark, "totals")
+    live.write_latest(live.totals(_event_stream(spark, sf_dir, ST)), path, live.checkpoint_path(spark, "totals"))
+    return live.latest(spark, path)
+
+
+@query("sink_window_json", """SELECT window_start, window_end, n_events, n_predicted_ddos, n_actual_ddos, round(accuracy, 6) AS accuracy, alert_raised FROM walert
+WHERE epoch_us(window_end) <= (SELECT z FROM anch) - 600000000""")
+def sink_window_json(spark, sf_dir):
+    """Windows written as JSON by a stream; those younger than the lateness stay open."""
+    st = _event_stream(spark, sf_dir, ST)
+    anchor = first_instant(stream(spark, sf_dir), "start_time")
+    path = scratch_path(spark, "windows")
+    live.write_json(live.windowed_alerts(st, 3600.0, anchor), path, live.checkpoint_path(spark, "windows"))
+    shape = """window_start timestamp, window_end timestamp, n_events bigint, n_predicted_ddos bigint, n_actual_ddos bigint,
+        accuracy double, alert_raised boolean"""
+    back = spark.read.text(path).select(F.from_json("value", shape, {"timestampFormat": live.TIME_FORMAT}).alias("w")).select("w.*")
+    return rounded(back.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("window_start", "window_end")}))
+
+
+@query("str_window_records", """WITH f AS (SELECT window_start, count(*) AS samples, string_agg(attack_id, ',' ORDER BY rn DESC) AS ids FROM
+ (SELECT *, row_number() OVER (PARTITION BY window_start ORDER BY start_time DESC, attack_id DESC) AS rn FROM win) WHERE rn <= 8 GROUP BY 1)
+SELECT w.window_index, w.n_events, round(w.accuracy, 4) AS accuracy, w.alert_raised, w.c00 + w.c11 + w.c22 AS on_diagonal, CAST(f.samples AS INT) AS samples
+FROM walert w JOIN f USING (window_start)""")
+def str_window_records(spark, sf_dir):
+    """The nested record per window, shown by some of its parts."""
+    rows = windowed(stream(spark, sf_dir), "start_time", 3600.0)
+    records = window_records(rows, "Random Forest", "replay", "stored")
+    cell = lambda i: F.get(F.get("confusion", F.lit(i)), F.lit(i))
+    return records.select("window_index", "n_events", "accuracy", "alert_raised",
+                          (cell(0) + cell(1) + cell(2)).alias("on_diagonal"), F.size("event_samples").alias("samples"))
