@@ -54,41 +54,34 @@ def flag(condition: Column) -> Column:
     return F.when(condition, F.lit(1)).otherwise(F.lit(0))
 
 
-def class_code(c: Column | str) -> Column:
+def class_code(column: str) -> Column:
     """Class name to its fixed code; anything unknown is NULL."""
-    c = _col(c)
-    out = F.when(c == names.CLASSES[0], F.lit(0))
-    for code, name in enumerate(names.CLASSES[1:], start=1):
-        out = out.when(c == name, F.lit(code))
-    return out
+    cases = " ".join(f"WHEN '{name}' THEN {code}" for code, name in enumerate(names.CLASSES))
+    return F.expr(f"CASE {column} {cases} END")
 
 
 def class_name(c: Column | str) -> Column:
     return F.element_at(F.array(*[F.lit(n) for n in names.CLASSES]), _col(c) + 1)
 
 
-def port_flags(port: Column | str) -> list[Column]:
-    port = _col(port)
+def port_flags(port: str) -> list[Column]:
+    """One 0/1 column per port group."""
+    listed = lambda ports: f"{port} IN ({', '.join(map(str, ports))})"
     tests = [
-        port == 0,
-        port.isin(names.DNS_PORTS),
-        port.isin(names.AMPLIFICATION_PORTS),
-        port.isin(names.HTTP_PORTS),
-        port.isin(names.HTTPS_PORTS),
-        port >= names.FIRST_EPHEMERAL_PORT,
+        f"{port} = 0", listed(names.DNS_PORTS), listed(names.AMPLIFICATION_PORTS), listed(names.HTTP_PORTS),
+        listed(names.HTTPS_PORTS), f"{port} >= {names.FIRST_EPHEMERAL_PORT}",
     ]
-    return [flag(t).cast("double").alias(n) for t, n in zip(tests, names.PORT_FEATURES)]
+    return [F.expr(f"if({t}, 1D, 0D) AS {n}") for t, n in zip(tests, names.PORT_FEATURES)]
 
 
 def token_column(token: str) -> str:
     return "atk_" + token.lower().replace(" ", "_")
 
 
-def token_flags(code: Column | str) -> list[Column]:
+def token_flags(code: str) -> list[Column]:
     """One 0/1 column per known token, matched as a literal, ignoring case."""
-    text = F.lower(F.trim(_col(code)))
     return [
-        flag(F.coalesce(F.contains(text, F.lit(t.lower())), F.lit(False))).alias(token_column(t))
+        F.expr(f"if(contains(lower(trim({code})), '{t.lower()}'), 1, 0) AS {token_column(t)}")
         for t in names.ATTACK_TOKENS
     ]
 

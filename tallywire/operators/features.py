@@ -12,9 +12,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tallywire import names
-from tallywire.functions.expressions import (
-    class_code, finite_or_zero, flag, guarded_ratio, log1p_floor0, port_flags,
-)
+from tallywire.functions.expressions import class_code, finite_or_zero, flag, port_flags
 from tallywire.functions.quantiles import (
     bounded_broadcast, deviation, median_and_deviation, oversized_groups, quantile_table, sorted_quantile,
 )
@@ -40,14 +38,18 @@ def _measures(components: DataFrame) -> DataFrame:
     )
 
 
+# SQL text keeps these long lists to one call each; Column objects would cost one
+# round trip to the JVM per operator.
+_STATISTICS = {
+    "pps_mean": "avg(pps)", "pps_max": "max(pps)", "pps_std": "stddev_samp(pps)",
+    "bytes_per_pkt_mean": "avg(len)", "bytes_per_pkt_max": "max(len)", "bytes_per_pkt_min": "min(len)",
+    "src_ip_mean": "avg(src)", "src_ip_max": "max(src)", "src_ip_std": "stddev_samp(src)",
+}
+
+
 def _plain_statistics() -> list[Column]:
-    zero = F.lit(0.0)
-    stats = {
-        "pps_mean": F.avg("pps"), "pps_max": F.max("pps"), "pps_std": F.stddev_samp("pps"),
-        "bytes_per_pkt_mean": F.avg("len"), "bytes_per_pkt_max": F.max("len"), "bytes_per_pkt_min": F.min("len"),
-        "src_ip_mean": F.avg("src"), "src_ip_max": F.max("src"), "src_ip_std": F.stddev_samp("src"),
-    }
-    return [F.coalesce(c, zero).alias(n) for n, c in stats.items()] + [F.count("*").alias("n_rows")]
+    stats = [F.expr(f"coalesce({sql}, 0D) AS {n}") for n, sql in _STATISTICS.items()]
+    return stats + [F.count("*").alias("n_rows")]
 
 
 _ROBUST = ["pps_median", "pps_mad", "len_median", "len_mad"]
@@ -78,7 +80,9 @@ def _in_one_pass(rows: DataFrame, robust: bool) -> DataFrame:
     arrays = [F.sort_array(F.collect_list("pps")).alias("_pps")]
     if robust:
         arrays.append(F.sort_array(F.collect_list("len")).alias("_len"))
-    packed = rows.groupBy(KEY).agg(*_plain_statistics(), *arrays)
+    # Arrays do not shrink on the map side, so go to the final grouping at once. The
+    # groups here are bounded, and the left join needs the same partitioning.
+    packed = rows.repartition(KEY).groupBy(KEY).agg(*_plain_statistics(), *arrays)
     out = packed.withColumn("pps_p95", F.coalesce(sorted_quantile(F.col("_pps"), 0.95), F.lit(0.0)))
     if not robust:
         return out.drop("_pps")
@@ -131,87 +135,79 @@ def event_features(
     if label:
         out.append(class_code(label).alias("label"))
     if "ab" in blocks:
-        out += _ab_columns()
+        out += _in_order(_ab_sql(), names.FEATURES_AB)
     if "base" in blocks:
-        out += _base_columns()
+        out += _in_order(_base_sql(), names.FEATURES_BASE)
     if "ab" in blocks or "base" in blocks:
         out += port_flags("port")
     if "extras" in blocks:
-        out += _extra_columns()
+        out += _in_order(_EXTRA_SQL, names.FEATURES_EXTRA)
     if "v1" in blocks:
         out += [F.col(f"_v1_{c}").alias(c) for c in names.FEATURES_V1]
     return joined.select(*out)
 
 
-def _pick(with_components: Column, fallback: Column) -> Column:
+def _in_order(columns: dict[str, str], order: list[str]) -> list[Column]:
+    return [F.expr(f"{columns[n]} AS {n}") for n in order if n in columns]
+
+
+def _pick(with_components: str, fallback: str) -> str:
     """The aggregate for events that have components, else the event-level value."""
-    return F.coalesce(
-        F.when(F.col("n_rows").isNotNull(), with_components).otherwise(fallback), F.lit(0.0)
-    )
+    return f"coalesce(if(n_rows IS NOT NULL, {with_components}, {fallback}), 0D)"
 
 
-def _rates_and_lengths(rate) -> dict[str, Column]:
-    zero = F.lit(0.0)
-    out = {c: _pick(rate(F.col(c)), rate(F.col("_speed"))) for c in ("pps_mean", "pps_max", "pps_p95")}
-    out["pps_std"] = _pick(rate(F.col("pps_std")), zero)
-    for c in ("bytes_per_pkt_mean", "bytes_per_pkt_max", "bytes_per_pkt_min"):
-        out[c] = _pick(F.col(c), F.col("_length"))
-    for c in ("src_ip_mean", "src_ip_max"):
-        out[c] = _pick(log1p_floor0(c), log1p_floor0("_sources"))
-    out["src_ip_std"] = _pick(log1p_floor0("src_ip_std"), zero)
-    out["pps_burstiness"] = _pick(guarded_ratio("pps_max", "pps_mean"), F.lit(1.0))
-    return out
+def _log(value: str) -> str:
+    return f"log1p(greatest({value}, 0D))"
 
 
-def _in_order(columns: dict[str, Column], order: list[str]) -> list[Column]:
-    return [columns[n].alias(n) for n in order if n in columns]
+def _same(value: str) -> str:
+    return value
 
 
-def _ab_columns() -> list[Column]:
-    zero = F.lit(0.0)
-    cols = _rates_and_lengths(log1p_floor0)
-    cols["pps_cv"] = _pick(guarded_ratio("pps_std", "pps_mean"), zero)
-    cols["pps_skew_proxy"] = _pick(
-        guarded_ratio(F.col("pps_max") - F.col("pps_p95"), F.col("pps_max") - F.col("pps_mean")), zero
-    )
-    cols["bytes_per_pkt_range"] = _pick(
-        guarded_ratio(F.col("bytes_per_pkt_max") - F.col("bytes_per_pkt_min"), "bytes_per_pkt_mean"), zero
-    )
-    # An unknown event speed leaves no ratio at all, hence the NULL check.
-    cols["bytes_to_pkts_ratio"] = _pick(
-        guarded_ratio("bytes_per_pkt_mean", "pps_mean"),
-        F.when(F.col("_speed").isNotNull(), guarded_ratio(F.coalesce("_length", zero), "_speed")),
-    )
-    return _in_order(cols, names.FEATURES_AB)
+def _over(top: str, bottom: str) -> str:
+    """Ratio with the denominator raised to at least one."""
+    return f"({top}) / greatest({bottom}, 1D)"
 
 
-def _base_columns() -> list[Column]:
-    cols = _rates_and_lengths(lambda c: c)
-    cols["bps_estimate"] = _pick(
-        F.col("pps_mean") * F.col("bytes_per_pkt_mean"),
-        F.coalesce("_speed", F.lit(0.0)) * F.coalesce("_length", F.lit(0.0)),
-    )
-    return _in_order(cols, names.FEATURES_BASE)
-
-
-def _extra_columns() -> list[Column]:
-    zero = F.lit(0.0)
-    n = F.coalesce(F.col("n_rows"), F.lit(0)).cast("double")
-    median = F.coalesce("pps_median", zero)
-    length = F.coalesce("len_median", zero)
-    # A zero median also falls back, whether or not there are components.
-    rate = F.when(median == 0, F.coalesce(log1p_floor0("_speed"), zero)).otherwise(log1p_floor0(median))
-    size = F.when(length == 0, F.coalesce(F.greatest("_length", zero), zero)).otherwise(length)
-    cols = {
-        "n_components": n,
-        "log1p_n_components": F.log1p(n),
-        "is_single_sample": flag(n == 1).cast("double"),
-        "pps_median_log": rate,
-        "pps_mad_log": log1p_floor0(F.coalesce("pps_mad", zero)),
-        "bytes_per_pkt_median": size,
-        "bytes_per_pkt_mad": F.coalesce("len_mad", zero),
+def _rates_and_lengths(rate) -> dict[str, str]:
+    out = {c: _pick(rate(c), rate("_speed")) for c in ("pps_mean", "pps_max", "pps_p95")}
+    out["pps_std"] = _pick(rate("pps_std"), "0D")
+    out |= {c: _pick(c, "_length") for c in ("bytes_per_pkt_mean", "bytes_per_pkt_max", "bytes_per_pkt_min")}
+    out |= {c: _pick(_log(c), _log("_sources")) for c in ("src_ip_mean", "src_ip_max")}
+    out["src_ip_std"] = _pick(_log("src_ip_std"), "0D")
+    out["pps_burstiness"] = _pick(_over("pps_max", "pps_mean"), "1D")
+    return out
+
+
+def _ab_sql() -> dict[str, str]:
+    # Ratios use raw values, before the logarithm. An unknown event speed leaves no
+    # ratio at all, hence the NULL check.
+    return _rates_and_lengths(_log) | {
+        "pps_cv": _pick(_over("pps_std", "pps_mean"), "0D"),
+        "pps_skew_proxy": _pick(_over("pps_max - pps_p95", "pps_max - pps_mean"), "0D"),
+        "bytes_per_pkt_range": _pick(_over("bytes_per_pkt_max - bytes_per_pkt_min", "bytes_per_pkt_mean"), "0D"),
+        "bytes_to_pkts_ratio": _pick(
+            _over("bytes_per_pkt_mean", "pps_mean"),
+            f"if(_speed IS NOT NULL, {_over('coalesce(_length, 0D)', '_speed')}, NULL)"),
     }
-    return _in_order(cols, names.FEATURES_EXTRA)
+
+
+def _base_sql() -> dict[str, str]:
+    return _rates_and_lengths(_same) | {
+        "bps_estimate": _pick("pps_mean * bytes_per_pkt_mean", "coalesce(_speed, 0D) * coalesce(_length, 0D)"),
+    }
+
+
+# A zero median falls back to the event value, whether or not there are components.
+_EXTRA_SQL = {
+    "n_components": "double(coalesce(n_rows, 0))",
+    "log1p_n_components": "log1p(double(coalesce(n_rows, 0)))",
+    "is_single_sample": "if(n_rows = 1, 1D, 0D)",
+    "pps_median_log": f"if(coalesce(pps_median, 0D) = 0D, {_log('_speed')}, {_log('pps_median')})",
+    "pps_mad_log": _log("pps_mad"),
+    "bytes_per_pkt_median": "if(coalesce(len_median, 0D) = 0D, greatest(_length, 0D), len_median)",
+    "bytes_per_pkt_mad": "coalesce(len_mad, 0D)",
+}
 
 
 def scrubbed(features: DataFrame, columns: list[str]) -> DataFrame:

@@ -17,55 +17,57 @@ CELLS = [f"c{t}{p}" for t in range(N) for p in range(N)]
 
 def confusion(predictions: DataFrame, keys: list[str]) -> DataFrame:
     """One row per key with the counts c<true><predicted>."""
-    return predictions.groupBy(*keys).agg(*[
-        F.count_if((F.col("y_true") == t) & (F.col("y_pred") == p)).alias(f"c{t}{p}")
-        for t in range(N) for p in range(N)
-    ])
+    return predictions.groupBy(*keys).agg(*cells_of())
 
 
-def confusion_rows(counts: DataFrame, keys: list[str]) -> DataFrame:
-    """The nine cells as rows, with the share of their true class in percent (one decimal)."""
-    support = [_total(t, None) for t in range(N)]
-    cells = [
-        F.struct(
-            F.lit(t).alias("y_true"), F.lit(p).alias("y_pred"), F.col(f"c{t}{p}").alias("n"),
-            F.round(F.col(f"c{t}{p}") / F.greatest(support[t], F.lit(1)) * 100, 1).alias("row_pct"),
-        )
-        for t in range(N) for p in range(N)
-    ]
-    return counts.select(*keys, F.explode(F.array(*cells)).alias("cell")).select(*keys, "cell.*")
+def cells_of(truth: str = "y_true", said: str = "y_pred") -> list[Column]:
+    return [F.expr(f"count_if({truth} = {t} AND {said} = {p}) AS c{t}{p}") for t in range(N) for p in range(N)]
 
 
-def _total(t: int | None, p: int | None) -> Column:
+def _total(t: int | None, p: int | None) -> str:
     """Sum over cells with the given truth and/or prediction."""
-    cells = [F.col(f"c{i}{j}") for i in range(N) for j in range(N)
-             if (t is None or i == t) and (p is None or j == p)]
-    return sum(cells[1:], cells[0])
+    cells = [f"c{i}{j}" for i in range(N) for j in range(N) if (t is None or i == t) and (p is None or j == p)]
+    return f"({' + '.join(cells)})"
+
 
+_DIAGONAL = f"({' + '.join(f'c{i}{i}' for i in range(N))})"
 
-def _ratio(top: Column, bottom: Column) -> Column:
-    return F.coalesce(F.try_divide(top.cast("double"), bottom.cast("double")), F.lit(0.0))
+
+def confusion_rows(counts: DataFrame, keys: list[str]) -> DataFrame:
+    """The nine cells as rows, with the share of their true class in percent (one decimal)."""
+    cells = ", ".join(
+        f"""named_struct('y_true', {t}, 'y_pred', {p}, 'n', c{t}{p},
+         'row_pct', round(c{t}{p} / greatest({_total(t, None)}, 1) * 100, 1))"""
+        for t in range(N) for p in range(N)
+    )
+    return counts.select(*keys, F.expr(f"inline(array({cells}))"))
 
 
-def _class_scores(c: int) -> dict[str, Column]:
-    hit, truth, said = F.col(f"c{c}{c}"), _total(c, None), _total(None, c)
+def _ratio(top: str, bottom: str) -> str:
+    return f"coalesce(try_divide(double({top}), double({bottom})), 0D)"
+
+
+def _class_scores(c: int) -> dict[str, str]:
+    hit, truth, said = f"c{c}{c}", _total(c, None), _total(None, c)
     return {
-        "precision": _ratio(hit, said), "recall": _ratio(hit, truth),
-        "f1": _ratio(2 * hit, truth + said), "support": truth.cast("bigint"),
-        "present": (truth + said) > 0,
+        "precision": _ratio(hit, said), "recall": _ratio(hit, truth), "f1": _ratio(f"2 * {hit}", f"{truth} + {said}"),
+        "support": truth, "present": f"({truth} + {said}) > 0",
     }
 
 
-def _mean(columns: list[Column]) -> Column:
-    return sum(columns[1:], columns[0]) / F.lit(float(len(columns)))
+_SCORES = [_class_scores(c) for c in range(N)]
+_MEASURES = ("precision", "recall", "f1", "support")
+
 
+def _mean(measure: str) -> str:
+    return f"({' + '.join(s[measure] for s in _SCORES)}) / {N}D"
 
-def _present_mean(measure: str) -> Column:
+
+def _present_mean(measure: str) -> str:
     """Mean over the classes that occur in truth or prediction."""
-    parts = [_class_scores(c) for c in range(N)]
-    sums = [F.when(s["present"], s[measure]).otherwise(F.lit(0.0)) for s in parts]
-    there = [F.when(s["present"], F.lit(1)).otherwise(F.lit(0)) for s in parts]
-    return _ratio(sum(sums[1:], sums[0]), sum(there[1:], there[0]))
+    total = " + ".join(f"if({s['present']}, {s[measure]}, 0D)" for s in _SCORES)
+    there = " + ".join(f"if({s['present']}, 1, 0)" for s in _SCORES)
+    return _ratio(total, there)
 
 
 def per_class(counts: DataFrame, keys: list[str], macro: bool = True) -> DataFrame:
@@ -74,38 +76,27 @@ def per_class(counts: DataFrame, keys: list[str], macro: bool = True) -> DataFra
     The macro row averages precision and recall over all classes, but F1 only over
     the classes that occur in truth or prediction.
     """
-    def row(label: str, s: dict[str, Column]) -> Column:
-        return F.struct(F.lit(label).alias("class"), *[s[m].alias(m) for m in ("precision", "recall", "f1", "support")])
-
-    scores = [_class_scores(c) for c in range(N)]
-    rows = [row(name, s) for name, s in zip(names.CLASSES, scores)]
+    rows = list(zip(names.CLASSES, _SCORES))
     if macro:
-        rows.append(row(names.MACRO, {
-            "precision": _mean([s["precision"] for s in scores]),
-            "recall": _mean([s["recall"] for s in scores]),
-            "f1": _present_mean("f1"),
-            "support": _total(None, None).cast("bigint"),
+        rows.append((names.MACRO, {
+            "precision": _mean("precision"), "recall": _mean("recall"), "f1": _present_mean("f1"),
+            "support": _total(None, None),
         }))
-    return counts.select(*keys, F.explode(F.array(*rows)).alias("r")).select(*keys, "r.*")
+    structs = ", ".join(
+        f"named_struct('class', '{label}', {', '.join(f'{m!r}, {s[m]}' for m in _MEASURES)})" for label, s in rows)
+    return counts.select(*keys, F.expr(f"inline(array({structs}))"))
 
 
 def overall(counts: DataFrame, keys: list[str]) -> DataFrame:
     """Accuracy, macro scores over occurring classes, macro F1 over all, weighted F1."""
-    scores = [_class_scores(c) for c in range(N)]
-    n = _total(None, None)
-    right = _total_diagonal()
-    weighted = [s["f1"] * s["support"] for s in scores]
-    return counts.select(
-        *keys, n.cast("bigint").alias("n_events"), _ratio(right, n).alias("accuracy"),
-        _present_mean("precision").alias("precision_macro"), _present_mean("recall").alias("recall_macro"),
-        _present_mean("f1").alias("f1_macro"), _mean([s["f1"] for s in scores]).alias("f1_macro_fixed"),
-        _ratio(sum(weighted[1:], weighted[0]), n).alias("f1_weighted"),
-    )
-
-
-def _total_diagonal() -> Column:
-    cells = [F.col(f"c{i}{i}") for i in range(N)]
-    return sum(cells[1:], cells[0])
+    everything = _total(None, None)
+    weighted = " + ".join(f"{s['f1']} * {s['support']}" for s in _SCORES)
+    columns = {
+        "n_events": everything, "accuracy": _ratio(_DIAGONAL, everything),
+        "precision_macro": _present_mean("precision"), "recall_macro": _present_mean("recall"),
+        "f1_macro": _present_mean("f1"), "f1_macro_fixed": _mean("f1"), "f1_weighted": _ratio(weighted, everything),
+    }
+    return counts.select(*keys, *[F.expr(f"{sql} AS {n}") for n, sql in columns.items()])
 
 
 def with_throughput(scores: DataFrame, seconds: str) -> DataFrame:

@@ -11,11 +11,9 @@ from tallywire.plans.registry import query, share
 from tallywire.plans.tables import components, events
 
 
-def rounded(df, digits=6, only=None):
-    return df.select(*[
-        F.round(F.col(n), digits).alias(n) if t == "double" and (only is None or n in only) else F.col(n)
-        for n, t in df.dtypes
-    ])
+def rounded(df, digits=6):
+    """All double columns rounded, so that both engines show the same digits."""
+    return df.selectExpr(*[f"round(`{n}`, {digits}) AS `{n}`" if t == "double" else f"`{n}`" for n, t in df.dtypes])
 
 
 share("cstat", """

@@ -8,7 +8,7 @@ from tallywire.functions.expressions import class_code
 from tallywire.operators import learn, metrics, mixture, neighbours, resample
 from tallywire.plans.features_q import LABEL_SQL, ab, round_sql, rounded
 from tallywire.plans.registry import query, share
-from tallywire.plans.tables import EV, ST, components, events, stream
+from tallywire.plans.tables import EV, SCHEMAS, ST, components, events, stream
 from tallywire.session import materialize, scratch_path
 from tallywire.sources import modelstore
 from tallywire.streaming import live
@@ -325,8 +325,7 @@ def store_models(spark, sf_dir):
 
 def _event_stream(spark, sf_dir, view):
     table, columns = view
-    schema = spark.read.parquet(f"{sf_dir}/{table}.parquet").schema
-    return live.file_stream(spark, f"{sf_dir}/{table}*.parquet", schema, columns)
+    return live.file_stream(spark, f"{sf_dir}/{table}*.parquet", SCHEMAS[table], columns)
 
 
 @query("str_score")

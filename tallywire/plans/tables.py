@@ -67,10 +67,21 @@ ST = ("events", {
 })
 
 
+# Declared, so that no job has to look into the files first.
+SCHEMAS = {
+    "orders": """o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double,
+ o_orderdate timestamp_ntz, o_orderpriority string""",
+    "lineitem": """l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double,
+ l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string,
+ l_shipdate timestamp_ntz""",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+}
+
+
 def frame(spark: SparkSession, sf_dir: str, view) -> DataFrame:
     table, columns = view
     spark.conf.set("spark.sql.session.timeZone", "UTC")
-    raw = spark.read.parquet(f"{sf_dir}/{table}.parquet")
+    raw = spark.read.schema(SCHEMAS[table]).parquet(f"{sf_dir}/{table}.parquet")
     return raw.selectExpr(*[f"{sql} AS {name}" for name, sql in columns.items()])
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from tallywire import names
 from tallywire.functions.expressions import data_rate, micros
 from tallywire.functions.ranking import ordered, top_per_group
+from tallywire.operators.metrics import cells_of
 
 
 def first_instant(df: DataFrame, time: str) -> int:
@@ -57,13 +58,13 @@ KEYS = ["window_start", "window_end"]
 
 def window_counts(scored: DataFrame, keys: list[str] | None = None) -> DataFrame:
     """Per window: events, predicted and actual counts per class, accuracy, confusion cells."""
-    kinds = ["normal", "suspicious", "ddos"]
-    pred = [F.count_if(F.col("y_pred") == i).alias(f"n_predicted_{k}") for i, k in enumerate(kinds)]
-    real = [F.count_if(F.col("y_true") == i).alias(f"n_actual_{k}") for i, k in enumerate(kinds)]
-    cells = [F.count_if((F.col("y_true") == t) & (F.col("y_pred") == p)).alias(f"c{t}{p}")
-             for t in range(3) for p in range(3)]
-    hit = F.avg(F.when(F.col("y_true") == F.col("y_pred"), 1.0).otherwise(0.0)).alias("accuracy")
-    return scored.groupBy(*(keys or KEYS)).agg(F.count("*").alias("n_events"), *pred, *real, hit, *cells)
+    by_class = [
+        F.expr(f"count_if({column} = {i}) AS n_{said}_{kind}")
+        for said, column in (("predicted", "y_pred"), ("actual", "y_true"))
+        for i, kind in enumerate(("normal", "suspicious", "ddos"))
+    ]
+    accuracy = F.expr("avg(if(y_true = y_pred, 1D, 0D)) AS accuracy")
+    return scored.groupBy(*(keys or KEYS)).agg(F.count("*").alias("n_events"), *by_class, accuracy, *cells_of())
 
 
 def window_traffic(df: DataFrame, ports: int = 3) -> DataFrame:
