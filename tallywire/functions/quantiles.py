@@ -164,8 +164,9 @@ def median_and_deviation(
 
 
 def _from_arrays(df: DataFrame, keys: list[str], columns: dict[str, Column]) -> DataFrame:
-    packed = df.groupBy(*keys).agg(*[
-        F.sort_array(F.collect_list(c.cast("double"))).alias(n) for n, c in columns.items()
+    # Bounded groups, and arrays do not shrink on the map side: group after one exchange.
+    packed = df.select(*keys, *[c.alias(n) for n, c in columns.items()]).repartition(*keys).groupBy(*keys).agg(*[
+        F.sort_array(F.collect_list(F.col(n).cast("double"))).alias(n) for n in columns
     ])
     with_median = packed.select("*", *[
         sorted_quantile(F.col(n), 0.5).alias(f"{n}_median") for n in columns

@@ -9,7 +9,7 @@ from tallywire.functions.expressions import family, log1p_floor0, seconds_betwee
 from tallywire.functions.quantiles import quantile_table
 from tallywire.functions.ranking import ordered, top_per_group
 
-PERCENT = F.lit(100.0)
+PERCENT = 100.0
 
 
 def fixed_counts(df: DataFrame, column: str, values: list[str], keys: list[str] | None = None) -> DataFrame:

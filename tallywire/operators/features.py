@@ -130,30 +130,39 @@ def event_features(
         KEY, *[c for c in carried if c != KEY], "port", *[c.cast("double").alias(n) for n, c in raw.items()],
         *([F.col(c).cast("double").alias(f"_v1_{c}") for c in names.FEATURES_V1] if "v1" in blocks else []),
     )
+    # An event without components stands for one sample of itself: the event values take
+    # the place of the missing statistics, and the formulas below need no second form.
     joined = left.join(stats, KEY, "left")
+    settled = joined.select(
+        *[c for c in left.columns if c not in raw], "_speed", "_length", "n_rows",
+        *[F.expr(f"coalesce({n}, {value}, 0D) AS {n}") for n, value in _STAND_IN.items()],
+        *(_ROBUST if "extras" in blocks else []),
+    )
     out: list[Column] = [F.col(KEY), *[F.col(c) for c in carried if c != KEY]]
     if label:
         out.append(class_code(label).alias("label"))
     if "ab" in blocks:
-        out += _in_order(_ab_sql(), names.FEATURES_AB)
+        out += _in_order(_SHARED_SQL | _rates(_log) | _AB_SQL, names.FEATURES_AB)
     if "base" in blocks:
-        out += _in_order(_base_sql(), names.FEATURES_BASE)
+        out += _in_order(_SHARED_SQL | _rates(_same) | _BASE_SQL, names.FEATURES_BASE)
     if "ab" in blocks or "base" in blocks:
         out += port_flags("port")
     if "extras" in blocks:
         out += _in_order(_EXTRA_SQL, names.FEATURES_EXTRA)
     if "v1" in blocks:
         out += [F.col(f"_v1_{c}").alias(c) for c in names.FEATURES_V1]
-    return joined.select(*out)
+    return settled.select(*out)
 
 
-def _in_order(columns: dict[str, str], order: list[str]) -> list[Column]:
-    return [F.expr(f"{columns[n]} AS {n}") for n in order if n in columns]
+_STAND_IN = {
+    "pps_mean": "_speed", "pps_max": "_speed", "pps_p95": "_speed", "pps_std": "0D",
+    "bytes_per_pkt_mean": "_length", "bytes_per_pkt_max": "_length", "bytes_per_pkt_min": "_length",
+    "src_ip_mean": "_sources", "src_ip_max": "_sources", "src_ip_std": "0D",
+}
 
 
-def _pick(with_components: str, fallback: str) -> str:
-    """The aggregate for events that have components, else the event-level value."""
-    return f"coalesce(if(n_rows IS NOT NULL, {with_components}, {fallback}), 0D)"
+def _in_order(columns: dict[str, str], order: list[str]) -> list[Column]:
+    return [F.expr(f"{columns[n]} AS {n}") for n in order if n in columns]
 
 
 def _log(value: str) -> str:
@@ -169,34 +178,25 @@ def _over(top: str, bottom: str) -> str:
     return f"({top}) / greatest({bottom}, 1D)"
 
 
-def _rates_and_lengths(rate) -> dict[str, str]:
-    out = {c: _pick(rate(c), rate("_speed")) for c in ("pps_mean", "pps_max", "pps_p95")}
-    out["pps_std"] = _pick(rate("pps_std"), "0D")
-    out |= {c: _pick(c, "_length") for c in ("bytes_per_pkt_mean", "bytes_per_pkt_max", "bytes_per_pkt_min")}
-    out |= {c: _pick(_log(c), _log("_sources")) for c in ("src_ip_mean", "src_ip_max")}
-    out["src_ip_std"] = _pick(_log("src_ip_std"), "0D")
-    out["pps_burstiness"] = _pick(_over("pps_max", "pps_mean"), "1D")
-    return out
-
-
-def _ab_sql() -> dict[str, str]:
-    # Ratios use raw values, before the logarithm. An unknown event speed leaves no
-    # ratio at all, hence the NULL check.
-    return _rates_and_lengths(_log) | {
-        "pps_cv": _pick(_over("pps_std", "pps_mean"), "0D"),
-        "pps_skew_proxy": _pick(_over("pps_max - pps_p95", "pps_max - pps_mean"), "0D"),
-        "bytes_per_pkt_range": _pick(_over("bytes_per_pkt_max - bytes_per_pkt_min", "bytes_per_pkt_mean"), "0D"),
-        "bytes_to_pkts_ratio": _pick(
-            _over("bytes_per_pkt_mean", "pps_mean"),
-            f"if(_speed IS NOT NULL, {_over('coalesce(_length, 0D)', '_speed')}, NULL)"),
-    }
+def _rates(scale) -> dict[str, str]:
+    return {c: scale(c) for c in ("pps_mean", "pps_max", "pps_p95", "pps_std")}
 
 
-def _base_sql() -> dict[str, str]:
-    return _rates_and_lengths(_same) | {
-        "bps_estimate": _pick("pps_mean * bytes_per_pkt_mean", "coalesce(_speed, 0D) * coalesce(_length, 0D)"),
-    }
-
+# Ratios use raw values, before any logarithm.
+_SHARED_SQL = {
+    "pps_burstiness": f"if(n_rows IS NULL, 1D, {_over('pps_max', 'pps_mean')})",
+    "bytes_per_pkt_mean": "bytes_per_pkt_mean", "bytes_per_pkt_max": "bytes_per_pkt_max",
+    "bytes_per_pkt_min": "bytes_per_pkt_min",
+    "src_ip_mean": _log("src_ip_mean"), "src_ip_max": _log("src_ip_max"), "src_ip_std": _log("src_ip_std"),
+}
+_AB_SQL = {
+    "pps_cv": _over("pps_std", "pps_mean"),
+    "pps_skew_proxy": _over("pps_max - pps_p95", "pps_max - pps_mean"),
+    "bytes_per_pkt_range": _over("bytes_per_pkt_max - bytes_per_pkt_min", "bytes_per_pkt_mean"),
+    # An unknown speed on both levels leaves no ratio.
+    "bytes_to_pkts_ratio": f"if(n_rows IS NULL AND _speed IS NULL, 0D, {_over('bytes_per_pkt_mean', 'pps_mean')})",
+}
+_BASE_SQL = {"bps_estimate": "pps_mean * bytes_per_pkt_mean"}
 
 # A zero median falls back to the event value, whether or not there are components.
 _EXTRA_SQL = {

@@ -204,18 +204,19 @@ def agg_count_zero_fill(spark, sf_dir):
     return rounded(features.component_counts(events(spark, sf_dir), components(spark, sf_dir)))
 
 
-_ROBUST = {"pps": F.col("packet_speed"), "len": F.when(F.col("avg_packet_len") > 0, F.col("avg_packet_len"))}
+def _robust():
+    return {"pps": F.col("packet_speed"), "len": F.when(F.col("avg_packet_len") > 0, F.col("avg_packet_len"))}
 
 
 @query("agg_median", "SELECT attack_id, pps_median, len_median FROM cmed")
 def agg_median(spark, sf_dir):
     co = components(spark, sf_dir)
-    return quantile_table(co, ["attack_id"], {f"{n}_median": (c, 0.5) for n, c in _ROBUST.items()})
+    return quantile_table(co, ["attack_id"], {f"{n}_median": (c, 0.5) for n, c in _robust().items()})
 
 
 @query("agg_mad", "SELECT attack_id, pps_median, len_median, pps_mad, len_mad FROM cmad")
 def agg_mad(spark, sf_dir):
-    return median_and_deviation(components(spark, sf_dir), ["attack_id"], _ROBUST)
+    return median_and_deviation(components(spark, sf_dir), ["attack_id"], _robust())
 
 
 @query("join_left_features", """SELECT e.attack_id, e.port, e.type, round(c.pps_mean, 6) AS pps_mean, c.pps_max
