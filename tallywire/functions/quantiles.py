@@ -23,12 +23,22 @@ def oversized_groups(df: DataFrame, keys: list[str], limit: int | None = None) -
 
     There can be no more such keys than rows / limit.
     """
+    big, _ = _split(df, keys, limit)
+    return big
+
+
+def _split(df: DataFrame, keys: list[str], limit: int | None = None) -> tuple[DataFrame | None, bool]:
+    """The oversized keys, and whether any row belongs to another key."""
     bound = group_row_limit(df.sparkSession) if limit is None else limit
-    if fits_one_task(df, bound):
-        return None
-    big = df.groupBy(*keys).count().filter(F.col("count") > bound).select(*keys)
-    big = materialize(big)
-    return None if big.isEmpty() else big
+    total = df.count()
+    if total <= bound:
+        return None, True
+    sizes = df.groupBy(*keys).agg(F.count("*").alias("_rows"))
+    big = materialize(sizes.filter(F.col("_rows") > bound))
+    inside = big.agg(F.sum("_rows")).first()[0]
+    if not inside:
+        return None, True
+    return big.select(*keys), inside < total
 
 
 def bounded_broadcast(df: DataFrame) -> DataFrame:
@@ -53,9 +63,11 @@ def quantile_table(
     if not keys:
         everything = df.withColumn("_all", F.lit(0))
         return _by_counting(everything, ["_all"], wanted, bound).drop("_all")
-    big = oversized_groups(df, keys, bound)
+    big, others = _split(df, keys, bound)
     if big is None:
         return df.groupBy(*keys).agg(*plain)
+    if not others:
+        return _by_counting(df, keys, wanted, bound)
     big = bounded_broadcast(big)
     rest = df.join(big, keys, "left_anti").groupBy(*keys).agg(*plain)
     large = _by_counting(df.join(big, keys, "left_semi"), keys, wanted, bound)

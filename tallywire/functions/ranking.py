@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tallywire.session import fits_one_task, materialize
+from tallywire.session import fits_one_task, group_row_limit, materialize
 
 
 def ordered(
@@ -20,13 +20,16 @@ def ordered(
     rank: str = "rn",
     sums: dict[str, Column] | None = None,
     limit: int | None = None,
+    at_most: int | None = None,
 ) -> DataFrame:
     """Add a 1-based row number and running sums up to and including each row.
 
-    ``order`` must be total inside a group.
+    ``order`` must be total inside a group. A known upper bound of the row count
+    (``at_most``) can save counting the rows.
     """
     sums = sums or {}
-    if fits_one_task(df, limit):
+    bound = group_row_limit(df.sparkSession) if limit is None else limit
+    if (at_most is not None and at_most <= bound) or fits_one_task(df, bound):
         return _windowed(df, groups, order, rank, sums)
 
     work = df.select("*", *[c.alias(f"_v_{n}") for n, c in sums.items()])

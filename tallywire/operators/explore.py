@@ -308,7 +308,7 @@ def concentration(events: DataFrame, key: str = "victim", limit: int | None = No
     known = events.filter(F.col(key).isNotNull()).select(key)
     total = known.count()
     counts = known.groupBy(key).agg(F.count("*").alias("n"))
-    ranked = ordered(counts, [], [F.desc("n"), F.asc(key)], "place", {"running": F.col("n")}, limit)
+    ranked = ordered(counts, [], [F.desc("n"), F.asc(key)], "place", {"running": F.col("n")}, limit, at_most=total)
     return ranked.select(key, "n", "place", (F.col("running") * PERCENT / F.lit(float(max(total, 1)))).alias("cum_pct"))
 
 

@@ -150,7 +150,7 @@ def fit_per_class(
         for k in tried:
             centres = _seed_centres(x, k, np.random.default_rng(seed))
             starts[(label, k)] = Mixture(np.full(k, 1 / k), centres, np.ones((k, d)))
-    vectors = data.select("label", "vec")
+    vectors = data.select("label", "vec").persist()  # lost blocks are read again from the checkpoint
     fits: Fits = {key: _update(s) for key, s in _sums(vectors, starts, hard=True).items()}
     before: dict[tuple[int, int], float] = {}
     going = dict(fits)
@@ -165,6 +165,7 @@ def fit_per_class(
             if settled:
                 del going[key]
     final = _sums(vectors, fits)
+    vectors.unpersist()
     chosen: dict[int, Mixture] = {}
     for label in sorted(counts):
         options = [(fits[key].bic(final[key]["log"], counts[label]), key[1]) for key in fits if key[0] == label]

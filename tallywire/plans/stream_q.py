@@ -90,8 +90,7 @@ def str_alert_audit(spark, sf_dir):
  (SELECT count(*) FROM walert WHERE alert_raised) AS alert_count, (SELECT count(*) FROM walert WHERE false_alert) AS false_alert_count,
  (SELECT count(*) FROM walert WHERE missed_attack) AS missed_attack_windows FROM win""")
 def str_summary(spark, sf_dir):
-    rows = scored(spark, sf_dir)
-    return rounded(windows.summary(rows, windows.with_alerts(windows.window_counts(rows))))
+    return rounded(windows.summary(alerts(spark, sf_dir)))
 
 
 @query("str_threat_level", """SELECT window_start, n_predicted_ddos, CASE WHEN n_predicted_ddos > 5 THEN 'CRITICAL' WHEN n_predicted_ddos > 2 THEN 'HIGH'

@@ -70,15 +70,18 @@ def window_counts(scored: DataFrame, keys: list[str] | None = None) -> DataFrame
 def window_traffic(df: DataFrame, ports: int = 3) -> DataFrame:
     """Per window: mean and peak packet rate, mean data rate, most frequent ports.
 
-    Ports are counted per window first; only the few leading ones are ever gathered.
+    The rows are read once and shrink to one row per window and port; everything else,
+    also the ranking of ports, works on those.
     """
-    rates = df.withColumn("_rate", data_rate(df.columns)).groupBy(*KEYS).agg(
-        F.avg("packet_speed").alias("avg_pkt_rate"), F.avg("_rate").alias("avg_data_rate"),
-        F.max("packet_speed").cast("double").alias("peak_pkt_rate"))
-    per_port = df.groupBy(*KEYS, "port").agg(F.count("*").alias("count"))
+    per_port = df.withColumn("_rate", data_rate(df.columns)).groupBy(*KEYS, "port").agg(
+        F.count("*").alias("count"), F.sum("packet_speed").alias("_speed"), F.sum("_rate").alias("_data"),
+        F.max("packet_speed").alias("_peak"))
+    rates = per_port.groupBy(*KEYS).agg(
+        F.expr("sum(_speed) / sum(count) AS avg_pkt_rate"), F.expr("sum(_data) / sum(count) AS avg_data_rate"),
+        F.expr("double(max(_peak)) AS peak_pkt_rate"))
     leading = top_per_group(per_port, KEYS, [F.desc("count"), F.asc("port")], ports)
     lists = leading.groupBy(*KEYS).agg(
-        F.sort_array(F.collect_list(F.struct("rn", "port", "count"))).alias("_p"))
+        F.sort_array(F.collect_list(F.struct("rn", "port", "count"))).alias("_p"))  # at most ``ports`` each
     lists = lists.select(*KEYS, F.transform("_p", lambda s: F.struct(s["port"].alias("port"), s["count"].alias("count"))).alias("top_ports"))
     return rates.join(lists, KEYS)
 
@@ -132,17 +135,14 @@ def rolling_mean(numbered: DataFrame, value: str, span: int = 5) -> DataFrame:
     return sums.filter(F.col("_n") == span).select("window_index", "rolling")
 
 
-def summary(scored: DataFrame, alerts: DataFrame) -> DataFrame:
-    """One row for a whole run."""
-    events = scored.agg(
-        F.count("*").alias("total_events"), F.count_if(F.col("y_pred") == names.DDOS).alias("total_ddos_detected"),
-        F.count_if(F.col("y_true") == names.DDOS).alias("total_ddos_actual"),
-        F.coalesce(F.avg(F.when(F.col("y_true") == F.col("y_pred"), 1.0).otherwise(0.0)), F.lit(0.0)).alias("overall_accuracy"))
-    windows = alerts.agg(
+def summary(alerts: DataFrame) -> DataFrame:
+    """One row for a whole run, from its window table."""
+    return alerts.agg(
+        F.sum("n_events").alias("total_events"), F.sum("n_predicted_ddos").alias("total_ddos_detected"),
+        F.sum("n_actual_ddos").alias("total_ddos_actual"),
+        F.expr("coalesce(sum(c00 + c11 + c22) / sum(n_events), 0D) AS overall_accuracy"),
         F.count("*").alias("windows"), F.count_if("alert_raised").alias("alert_count"),
         F.count_if("false_alert").alias("false_alert_count"), F.count_if("missed_attack").alias("missed_attack_windows"))
-    one = F.lit(1)
-    return events.withColumn("_k", one).join(windows.withColumn("_k", one), "_k").drop("_k")
 
 
 def threat_level(counts: DataFrame) -> DataFrame:

@@ -43,7 +43,7 @@ def test_counts_alerts_totals(spark, limit):
     assert [r["total_events"] for r in totals] == [3, 5, 6]
     assert [r["total_ddos_actual"] for r in totals] == [2, 3, 3]
     assert [r["window_index"] for r in totals] == [0, 1, 2]
-    summary = windows.summary(scored, alerts).first()
+    summary = windows.summary(alerts).first()
     assert (summary["total_events"], summary["alert_count"], summary["missed_attack_windows"]) == (6, 1, 1)
     assert windows.threat_level(windows.window_counts(scored)).first()["threat_level"] == "NORMAL"
 
