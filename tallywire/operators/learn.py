@@ -152,7 +152,7 @@ class Suite:
         return out
 
 
-_LEAST_ROWS, _MOST_ROWS = 2_000, 100_000
+_LEAST_ROWS, _MOST_ROWS = 4_000, 100_000
 
 
 def _spread(table: DataFrame, rows: int) -> DataFrame:
