@@ -80,3 +80,12 @@ def scratch_table(spark: SparkSession, name: str) -> str:
     """A table name nobody else uses."""
     scratch_root(spark)
     return f"tallywire_{name}_{uuid.uuid4().hex}"
+
+
+def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of a string column and the offset of each row in them; NULL is empty."""
+    column = pc.fill_null(column, "").cast(pa.large_string())
+    _, offsets, data = column.buffers()
+    offsets = np.frombuffer(offsets, np.int64)[column.offset:column.offset + len(column) + 1]
+    data = np.frombuffer(data, np.uint8)[offsets[0]:offsets[-1]] if data is not None else np.zeros(0, np.uint8)
+    return data, offsets - offsets[0]

@@ -7,12 +7,20 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tallywire.llm import piece_codec, sharding, token_counts
+from tallywire.llm import (
+    bin_completion, line_dedup, ngram_quality, piece_codec, sharding, simhash, token_counts, token_output, topk,
+)
 from tallywire.llm.common import tables
 
 Query = Callable[[SparkSession, str], DataFrame]
 TOKEN_LIMIT = 1024
 SHARDS = 8
+NEIGHBOURS = 10
+
+
+def op1_packed_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_output.packed_matrix(
+        tables(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), end_id=50256)
 
 
 def op2_sampled_splitters(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -40,7 +48,35 @@ def op4_piece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_simhash_components(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_components(tables(spark, sf_dir, "documents"))
+    return found.select("doc_id", simhash.hex_digits(F.col("fp")).alias("fingerprint"), "component_id")
+
+
+def op6_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(tables(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, NEIGHBOURS)
+
+
+def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = bin_completion.token_pieces(tables(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), end_id=1)
+    return bin_completion.pack(pieces)
+
+
+def trusted_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tables(spark, sf_dir, "labels").filter("quality = 1").select("doc_id")
+
+
+def op9_ngram_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = ngram_quality.judged(tables(spark, sf_dir, "documents"), trusted_ids(spark, sf_dir))
+    return out.select(F.col("row")["doc_id"].alias("doc_id"), *ngram_quality.COUNTS, "base_failed", "score", "kept")
+
+
+def op10_site_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.drop_boilerplate(tables(spark, sf_dir, "documents")).select("doc_id", "text", "n_dropped")
+
+
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
-    op2_sampled_splitters, op3_token_counts, op4_piece_codec,
+    op1_packed_matrix, op2_sampled_splitters, op3_token_counts, op4_piece_codec, op5_simhash_components, op6_exact_top_k,
+    op8_best_fit_packing, op9_ngram_quality, op10_site_lines,
 )}
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op10_site_lines": line_dedup.ORACLE}
