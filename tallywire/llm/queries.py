@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tallywire.llm import (
-    bin_completion, line_dedup, ngram_quality, piece_codec, sharding, simhash, token_counts, token_output, topk,
+    bin_completion, line_dedup, ngram_quality, piece_codec, sharding, simhash, suffix_dedup,
+    token_counts, token_output, topk,
 )
 from tallywire.llm.common import tables
 
@@ -57,6 +58,13 @@ def op6_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(tables(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, NEIGHBOURS)
 
 
+def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = suffix_dedup.remove_repeats(tables(spark, sf_dir, "documents"))
+    return out.select(
+        F.col("row")["doc_id"].alias("doc_id"), "n_bytes", (F.col("n_bytes") - F.octet_length("kept")).alias("n_removed"),
+        F.size("begins").cast("bigint").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = bin_completion.token_pieces(tables(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), end_id=1)
     return bin_completion.pack(pieces)
@@ -77,6 +85,6 @@ def op10_site_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
     op1_packed_matrix, op2_sampled_splitters, op3_token_counts, op4_piece_codec, op5_simhash_components, op6_exact_top_k,
-    op8_best_fit_packing, op9_ngram_quality, op10_site_lines,
+    op7_suffix_dedup, op8_best_fit_packing, op9_ngram_quality, op10_site_lines,
 )}
 ORACLES: dict[str, str] = {"op10_site_lines": line_dedup.ORACLE}
