@@ -51,6 +51,7 @@ def count_tokens(
 
 def count_texts(enc: UnitEncoder, texts: list[str], chunk: int, overlap: int) -> list[tuple[int, int, int]]:
     """(tokens, chunks, widened overlaps) of each text."""
+    enc.trim()
     cut = [enc.units(t) if len(t) <= chunk else None for t in texts]
     known = enc.learn(cut)
     out = []
@@ -61,7 +62,6 @@ def count_texts(enc: UnitEncoder, texts: list[str], chunk: int, overlap: int) ->
             out.append((len(enc.library.encode(text, add_special_tokens=False).ids), 1, 0))
         else:
             out.append(_spliced(enc, text, chunk, overlap))
-            known = enc.learn([])
     return out
 
 

@@ -55,12 +55,14 @@ class UnitEncoder:
             return None
         return self._pattern.findall(text.lower() if self._lower else text)
 
-    def learn(self, cut: list[list[str] | None]) -> dict[str, bytes]:
-        """Remember the ids of all given units; the memory is emptied when it gets too large."""
-        new = set().union(*[u for u in cut if u is not None])
+    def trim(self) -> None:
+        """Empty the memory if it has got too large; to be called between batches of texts."""
         if len(self._known) > _REMEMBERED:
             self._known = {}
-        new = list(new.difference(self._known))
+
+    def learn(self, cut: list[list[str] | None]) -> dict[str, bytes]:
+        """Remember the ids of all given units."""
+        new = list(set().union(*[u for u in cut if u is not None]).difference(self._known))
         for start in range(0, len(new), 4096):
             part = new[start:start + 4096]
             for unit, e in zip(part, self.library.encode_batch_fast(part, add_special_tokens=False)):
@@ -69,6 +71,7 @@ class UnitEncoder:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit numbers."""
+        self.trim()
         cut = [self.units(t) for t in texts]
         known = self.learn(cut).__getitem__
         return [self._whole(t) if u is None else b"".join(map(known, u)) for t, u in zip(texts, cut)]
