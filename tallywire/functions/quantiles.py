@@ -2,19 +2,22 @@
 
 A group of bounded size is answered by Spark's ``percentile``. A group that may
 hold a large part of the table is never brought into one task: its values are
-counted into bins (combined on the map side, so only bin counts are shuffled),
-the bin holding the wanted rank becomes the next value range, and the rounds stop
-when few enough rows are left to be sorted.
+counted between splitters taken from a sketch (combined on the map side, so only
+counts are shuffled), the part holding the wanted rank becomes the next value
+range, and the rounds stop when few enough rows are left to be sorted. Groups
+whose values are all NULL and groups with NULL keys stay on both paths.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tallywire.functions.expressions import sorted_quantile
 from tallywire.session import fits_one_task, group_row_limit, materialize
 
-BINS = 4096
+SPLITTERS = 64
 _BROADCAST_ROWS = 100_000
 
 
@@ -69,57 +72,76 @@ def quantile_table(
     if not others:
         return _by_counting(df, keys, wanted, bound)
     big = bounded_broadcast(big)
-    rest = df.join(big, keys, "left_anti").groupBy(*keys).agg(*plain)
-    large = _by_counting(df.join(big, keys, "left_semi"), keys, wanted, bound)
+    rest = matching(df, big, keys, "left_anti").groupBy(*keys).agg(*plain)
+    large = _by_counting(matching(df, big, keys, "left_semi"), keys, wanted, bound)
     return rest.unionByName(large)
 
 
+def matching(left: DataFrame, right: DataFrame, keys: list[str], how: str) -> DataFrame:
+    """Join on ``keys`` where NULL equals NULL; the keys of ``left`` are kept."""
+    other = right.select(*[F.col(k).alias(f"_r_{k}") for k in keys], *[c for c in right.columns if c not in keys])
+    on = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_r_{k}")) for k in keys])
+    return left.join(other, on, how).drop(*[f"_r_{k}" for k in keys])
+
+
 def _by_counting(
     df: DataFrame, keys: list[str], wanted: dict[str, tuple[Column, float]], bound: int
 ) -> DataFrame:
+    """Values are only ever compared, so infinities, NaN (the greatest value) and any range are fine."""
     items = list(wanted.items())
     cells = F.array(*[
         F.struct(F.lit(i).alias("item"), F.lit(float(p)).alias("p"), c.cast("double").alias("v"))
         for i, (_, (c, p)) in enumerate(items)
     ])
-    values = (
-        df.select(*keys, F.explode(cells).alias("cell")).select(*keys, "cell.*")
-        .filter(F.col("v").isNotNull())
-    )
+    # Every round reads the rows again, so they are kept once with nothing but what is ranked.
+    every = materialize(df.select(*keys, F.explode(cells).alias("cell")).select(*keys, "cell.*"))
+    values = every.filter(F.col("v").isNotNull())
     group = keys + ["item"]
     state = materialize(
-        values.groupBy(*group)
-        .agg(F.count("*").alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi"), F.first("p").alias("p"))
+        every.groupBy(*group)
+        .agg(F.count("v").alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi"), F.first("p").alias("p"))
         .withColumn("at", F.col("p") * (F.col("n") - 1))
         .select(*group, "at", "lo", "hi", F.lit(0).cast("bigint").alias("below"), F.col("n").alias("inside"),
-                (F.col("lo") == F.col("hi")).alias("done"))
+                ((F.col("n") == 0) | (F.col("lo") == F.col("hi"))).alias("done"))
     )
     while not state.filter(~F.col("done") & (F.col("inside") > bound)).isEmpty():
         state = materialize(_narrow(values, state, group))
     open_rows = (
-        values.drop("p").join(bounded_broadcast(state.filter(~F.col("done"))), group)
+        matching(values.drop("p"), bounded_broadcast(state.filter(~F.col("done"))), group, "inner")
         .filter(F.col("v").between(F.col("lo"), F.col("hi")))
         .groupBy(*group)
         .agg(F.first("at").alias("at"), F.first("below").alias("below"), F.sort_array(F.collect_list("v")).alias("vs"))
     )
-    first = (F.floor("at") - F.col("below")).cast("int")
-    second = (F.ceil("at") - F.col("below")).cast("int")
-    part = F.col("at") - F.floor("at")
-    finished = open_rows.select(
-        *group, (F.get("vs", first) + (F.get("vs", second) - F.get("vs", first)) * part).alias("q")
-    ).unionByName(state.filter("done").select(*group, (F.col("lo") + (F.col("hi") - F.col("lo")) * part).alias("q")))
+    first = F.get("vs", (F.floor("at") - F.col("below")).cast("int"))
+    second = F.get("vs", (F.ceil("at") - F.col("below")).cast("int"))
+    finished = open_rows.select(*group, _between(first, second).alias("q")).unionByName(
+        state.filter("done").select(*group, _between(F.col("lo"), F.col("hi")).alias("q")))
     return finished.groupBy(*keys).agg(*[
         F.max(F.when(F.col("item") == i, F.col("q"))).alias(n) for i, (n, _) in enumerate(items)
     ])
 
 
+def _between(first: Column, second: Column) -> Column:
+    """Linear interpolation as ``percentile`` does it: no arithmetic between equal values."""
+    part = F.col("at") - F.floor("at")
+    return F.when((first == second) | (part == 0), first).otherwise(first * (1 - part) + second * part)
+
+
 def _narrow(values: DataFrame, state: DataFrame, group: list[str]) -> DataFrame:
-    """One counting round: the range of each open target shrinks to the bin of its rank."""
-    width = F.col("hi") - F.col("lo")
-    slot = F.least(F.floor((F.col("v") - F.col("lo")) / width * F.lit(BINS)), F.lit(BINS - 1))
+    """One counting round. Splitters come from a sketch of the values still in range, and the range of each open
+    target shrinks to one splitter or to the values between two."""
+    opened = bounded_broadcast(state.filter(~F.col("done")))
+    inside = matching(values.drop("p"), opened, group, "inner").filter(F.col("v").between(F.col("lo"), F.col("hi")))
+    number = F.when(~F.isnan("v"), F.col("v"))  # sketches cannot rank NaN
+    sketch = inside.groupBy(*group).agg(
+        F.array_sort(F.array_distinct(F.concat(
+            F.coalesce(F.percentile_approx(number, [i / SPLITTERS for i in range(1, SPLITTERS)]), F.array()),
+            F.filter(F.array(F.min(number), F.max(number)), lambda x: x.isNotNull())))).alias("splitters"))
+    sketch = bounded_broadcast(materialize(sketch))
+    below = F.size(F.filter("splitters", lambda x: x < F.col("v")))
+    slot = 2 * below + F.array_contains("splitters", F.col("v")).cast("int")
     bins = (
-        values.drop("p").join(bounded_broadcast(state.filter(~F.col("done"))), group)
-        .filter(F.col("v").between(F.col("lo"), F.col("hi")))
+        matching(inside, sketch, group, "inner")
         .groupBy(*group, "at", "below", slot.alias("slot"))
         .agg(F.count("*").alias("c"), F.min("v").alias("least"), F.max("v").alias("most"))
     )
@@ -162,17 +184,17 @@ def median_and_deviation(
     if big is None:
         return _from_arrays(df, keys, columns)
     big = bounded_broadcast(big)
-    rest = _from_arrays(df.join(big, keys, "left_anti"), keys, columns)
-    large = df.join(big, keys, "left_semi")
+    rest = _from_arrays(matching(df, big, keys, "left_anti"), keys, columns)
+    large = matching(df, big, keys, "left_semi")
     medians = materialize(quantile_table(
         large, keys, {f"{n}_median": (c, 0.5) for n, c in columns.items()}, bound
     ))
     centred = large.select(*keys, *[c.cast("double").alias(f"_{n}") for n, c in columns.items()])
-    centred = centred.join(bounded_broadcast(medians), keys)
+    centred = matching(centred, bounded_broadcast(medians), keys, "inner")
     spread = quantile_table(centred, keys, {
         f"{n}_mad": (F.abs(F.col(f"_{n}") - F.col(f"{n}_median")), 0.5) for n in columns
     }, bound)
-    return rest.unionByName(medians.join(spread, keys))
+    return rest.unionByName(matching(medians, spread, keys, "inner"))
 
 
 def _from_arrays(df: DataFrame, keys: list[str], columns: dict[str, Column]) -> DataFrame:

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from tallywire.functions.quantiles import matching
 from tallywire.session import fits_one_task, group_row_limit, materialize
 
 
@@ -48,13 +49,15 @@ def ordered(
     offsets = block_totals.select(
         *groups, "_part",
         F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_rows_before"),
-        *[F.coalesce(F.sum(f"_t_{n}").over(earlier), F.lit(0)).alias(f"_b_{n}") for n in sums],
+        *[F.sum(f"_t_{n}").over(earlier).alias(f"_b_{n}") for n in sums],
     )
-    joined = local.join(offsets, groups + ["_part"])
+    joined = matching(local, offsets, groups + ["_part"], "inner")
+    # As in a window, NULLs add nothing and a sum of nothing but NULLs is NULL.
+    whole = lambda n: F.coalesce(F.col(n) + F.col(f"_b_{n}"), F.col(n), F.col(f"_b_{n}"))
     kept = [c for c in df.columns]
     return joined.select(
         *kept, (F.col("_local") + F.col("_rows_before")).cast("bigint").alias(rank),
-        *[(F.col(n) + F.col(f"_b_{n}")).alias(n) for n in sums],
+        *[whole(n).alias(n) for n in sums],
     )
 
 
@@ -79,7 +82,7 @@ def with_previous(
         *groups, (F.col("_rn") + 1).alias("_rn"), *[F.col(c).alias(f"prev_{c}") for c in columns]
     )
     # Joined on (group, row number): a huge group hashes over every partition.
-    return numbered.join(shifted, groups + ["_rn"], "left").drop("_rn")
+    return matching(numbered, shifted, groups + ["_rn"], "left").drop("_rn")
 
 
 def top_per_group(df: DataFrame, groups: list[str], order: list[Column], n: int) -> DataFrame:

@@ -86,10 +86,10 @@ def clean_components(components: DataFrame, fitted: Thresholds) -> DataFrame:
 
 
 def category_codes(df: DataFrame, column: str) -> DataFrame:
-    """Add ``<column>_code``: the position of the value among the sorted distinct values."""
+    """Add ``<column>_code``: the position of the value among the sorted distinct values, -1 for NULL."""
     from tallywire.functions.ranking import ordered
 
     distinct = df.select(column).filter(F.col(column).isNotNull()).distinct()
     coded = ordered(distinct, [], [F.col(column)], "_rank")
     coded = coded.select(column, (F.col("_rank") - 1).cast("int").alias(f"{column}_code"))
-    return df.join(coded, column, "left")
+    return df.join(coded, column, "left").withColumn(f"{column}_code", F.coalesce(f"{column}_code", F.lit(-1)))

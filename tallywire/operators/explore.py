@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tallywire import names
 from tallywire.functions.expressions import family, log1p_floor0, seconds_between
-from tallywire.functions.quantiles import quantile_table
+from tallywire.functions.quantiles import matching, quantile_table
 from tallywire.functions.ranking import ordered, top_per_group
 
 PERCENT = 100.0
@@ -73,13 +73,13 @@ def with_durations(events: DataFrame) -> DataFrame:
 
 
 def top_values(df: DataFrame, column: str, n: int) -> DataFrame:
-    """The n most frequent values; ties go to the smaller value."""
-    counts = df.groupBy(column).agg(F.count("*").alias("n"))
+    """The n most frequent values, NULL left out; ties go to the smaller value."""
+    counts = df.filter(F.col(column).isNotNull()).groupBy(column).agg(F.count("*").alias("n"))
     return counts.orderBy(F.desc("n"), F.asc(column)).limit(n)
 
 
 def top_values_and_other(df: DataFrame, column: str, n: int) -> DataFrame:
-    counts = df.groupBy(column).agg(F.count("*").alias("n"))
+    counts = df.filter(F.col(column).isNotNull()).groupBy(column).agg(F.count("*").alias("n"))
     top = counts.orderBy(F.desc("n"), F.asc(column)).limit(n)
     rest = counts.join(F.broadcast(top.select(column)), column, "left_anti")
     other = rest.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).select(F.lit("Other").alias(column), "n")
@@ -87,7 +87,7 @@ def top_values_and_other(df: DataFrame, column: str, n: int) -> DataFrame:
 
 
 def top_values_per_class(df: DataFrame, column: str, n: int) -> DataFrame:
-    counts = df.groupBy("type", column).agg(F.count("*").alias("n"))
+    counts = df.filter(F.col(column).isNotNull()).groupBy("type", column).agg(F.count("*").alias("n"))
     return top_per_group(counts, ["type"], [F.desc("n"), F.asc(column)], n)
 
 
@@ -99,7 +99,7 @@ def daily_counts(events: DataFrame) -> DataFrame:
 def class_clipped(df: DataFrame, column: str, q: float) -> DataFrame:
     """The column clipped, inside each class, at that class's own quantile."""
     caps = quantile_table(df, ["type"], {"_cap": (F.col(column), q)})
-    joined = df.join(F.broadcast(caps), "type")  # one row per class
+    joined = matching(df, F.broadcast(caps), ["type"], "left")  # one row per class
     return joined.withColumn(column, F.least(F.col(column).cast("double"), F.col("_cap"))).drop("_cap")
 
 
@@ -317,26 +317,41 @@ def covering(ranked: DataFrame, pct: float = 80.0) -> DataFrame:
     return ranked.agg(F.count_if(F.col("cum_pct") <= pct).alias("n_covering"))
 
 
-def _draw(key: str, seed: int) -> Column:
-    """A repeatable pseudo-random order over a numeric key (fixed values 7919 and 10007)."""
-    return F.pmod(F.col(key) * 7919 + seed, F.lit(10007))
+_PRIME = (1 << 61) - 1
+
+
+def draw(key: str, seed: int) -> Column:
+    """A repeatable pseudo-random order over a whole-number key of any size.
+
+    Different keys below the prime get different draws, so nothing is decided by the key itself. Products are
+    taken in decimals, which hold them exactly (fixed values: the two multipliers and 2**61 - 1).
+    """
+    wide = lambda x: x.cast("decimal(20,0)")
+    mixed = F.pmod(wide(F.col(key)) * F.lit(1181783497276652981).cast("decimal(19,0)") + F.lit(seed), F.lit(_PRIME)).cast("bigint")
+    folded = mixed.bitwiseXOR(F.shiftright(mixed, 29))
+    return F.pmod(wide(folded) * F.lit(1099511628211).cast("decimal(18,0)"), F.lit(_PRIME)).cast("bigint")
+
+
+def draw_sql(key: str, seed: int) -> str:
+    """The same order as SQL text with 128-bit integers."""
+    mixed = f"((CAST({key} AS HUGEINT) * 1181783497276652981 + {seed}) % {_PRIME} + {_PRIME}) % {_PRIME}"
+    return f"(xor({mixed}, ({mixed}) >> 29) * 1099511628211) % {_PRIME}"
 
 
 def stratified_sample(df: DataFrame, key: str, cap: int, seed: int = 0, label: str = "type") -> DataFrame:
-    """Per class min(n_c, max(1, cap * n_c div n)) rows, the first of a repeatable order."""
+    """Per class, NULL being one, min(n_c, max(1, cap * n_c div n)) rows, the first of a repeatable order."""
     sizes = {r[label]: r["count"] for r in df.groupBy(label).count().collect()}  # one row per class
     total = sum(sizes.values())
     if total <= cap:
-        return df
-    take = None
+        return df  # every class would be taken whole
+    take = F.lit(0)
     for value, n in sizes.items():
-        quota = F.lit(min(n, max(1, cap * n // total)))
-        take = F.when(F.col(label) == value, quota) if take is None else take.when(F.col(label) == value, quota)
-    drawn = df.withColumn("_draw", _draw(key, seed))
+        take = F.when(F.col(label).eqNullSafe(F.lit(value)), min(n, max(1, cap * n // total))).otherwise(take)
+    drawn = df.withColumn("_draw", draw(key, seed))
     ranked = ordered(drawn, [label], [F.asc("_draw"), F.asc(key)], "_rn")
     return ranked.filter(F.col("_rn") <= take).drop("_draw", "_rn")
 
 
 def sample_rows(df: DataFrame, key: str, n: int, seed: int = 0) -> DataFrame:
     """n rows, the first of a repeatable order: a distributed top-n, no global sort."""
-    return df.orderBy(_draw(key, seed), F.asc(key)).limit(n)
+    return df.orderBy(draw(key, seed), F.asc(key)).limit(n)

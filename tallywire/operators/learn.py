@@ -7,7 +7,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 from pyspark.ml.classification import (
-    DecisionTreeClassifier, GBTClassifier, LogisticRegression, OneVsRest, RandomForestClassifier,
+    DecisionTreeClassifier, GBTClassifier, LogisticRegression, OneVsRest, OneVsRestModel, RandomForestClassifier,
 )
 from pyspark.ml.feature import PCA
 from pyspark.ml.functions import array_to_vector, vector_to_array
@@ -92,6 +92,7 @@ class Settings:
     gbt_rate: float = 0.1
     bins: int = 255
     seed: int = 42
+    rows_per_partition: int = 4_000
 
 
 def estimator(name: str, weight_sum: float, s: Settings):
@@ -137,12 +138,34 @@ class Suite:
         return said.select(key, F.col("label").cast("int").alias("y_true"), F.col("prediction").cast("int").alias("y_pred"))
 
     def probabilities(self, name: str, df: DataFrame, key: str = "attack_id") -> DataFrame:
-        """Probability per class in class order; classes the model never saw get zero."""
-        said = self.models[name].transform(model_table(df, self.scaler, keep=(key,)))
-        p = vector_to_array("probability")
+        """Probability per class in class order; classes the model never saw get zero.
+
+        For boosting these are the one-against-rest probabilities over their sum, for neighbours the shares of votes.
+        """
+        if name == "KNN (k=5)":
+            return self._vote_shares(df, key)
+        model, table = self.models[name], model_table(df, self.scaler, keep=(key,))
+        said = model.transform(table)
+        if isinstance(model, OneVsRestModel):
+            for i, one in enumerate(model.models):
+                single = one.copy().setProbabilityCol(f"_p{i}").setRawPredictionCol(f"_r{i}").setPredictionCol(f"_y{i}")
+                said = single.transform(said)
+            each = [F.get(vector_to_array(f"_p{i}"), F.lit(1)) for i in range(len(model.models))]
+            total = sum(each[1:], each[0])
+            p = F.array(*[e / total for e in each])
+        else:
+            p = vector_to_array("probability")
         columns = [F.coalesce(F.get(p, F.lit(c)), F.lit(0.0)).alias(f"p_{c}") for c in range(len(names.CLASSES))]
         return said.select(key, F.col("label").cast("int").alias("y_true"), F.col("prediction").cast("int").alias("y_pred"), *columns)
 
+    def _vote_shares(self, df: DataFrame, key: str) -> DataFrame:
+        queries = df.select(F.col(key).alias("id"), self.scaler.vector().alias("vec"))
+        near = neighbours.nearest(queries, self.reference, self.settings.neighbours)
+        share = [F.avg((F.col("neighbour_label") == c).cast("double")).alias(f"p_{c}") for c in range(len(names.CLASSES))]
+        voted = near.groupBy("query_id").agg(*share).join(neighbours.majority_vote(near).select("query_id", "y_pred"), "query_id")
+        said = df.select(key, F.col("label").alias("y_true")).join(voted.withColumnRenamed("query_id", key), key, "left")
+        return said.select(key, "y_true", "y_pred", *[f"p_{c}" for c in range(len(names.CLASSES))])
+
     def predictions(self, df: DataFrame, models: list[str] | None = None, key: str = "attack_id") -> DataFrame:
         """Predictions of several models as one table, tagged with the model."""
         out = None
@@ -152,16 +175,10 @@ class Suite:
         return out
 
 
-_LEAST_ROWS, _MOST_ROWS = 4_000, 100_000
-
-
-def _spread(table: DataFrame, rows: int) -> DataFrame:
-    """A small table sits in few partitions, but fitting is bound by computing: use the
-    cores, with enough rows in each. A large one has enough partitions already."""
-    cores = table.sparkSession.sparkContext.defaultParallelism
-    if rows > cores * _MOST_ROWS:
-        return table
-    return table.repartition(max(1, min(cores, -(-rows // _LEAST_ROWS))))
+def _spread(table: DataFrame, rows: int, per_partition: int) -> DataFrame:
+    """Partitions that depend on the rows alone, because forests draw their bags per partition:
+    the same rows give the same model on any number of cores."""
+    return table.repartition(max(1, -(-rows // per_partition)), "features")
 
 
 def fit_suite(
@@ -174,10 +191,12 @@ def fit_suite(
     each learner, so it should be stored or cached by the caller.
     """
     settings = settings or Settings()
+    if key in train.columns and not train.groupBy(key).count().filter("count > 1").isEmpty():
+        raise ValueError(f"{key} is not unique in the training rows")
     counts = class_counts(train)
     weights = weights or balanced_weights(counts)
     scaler = Scaler.fit(train, columns)
-    table = _spread(model_table(train, scaler, weights), sum(counts.values()))
+    table = _spread(model_table(train, scaler, weights), sum(counts.values()), settings.rows_per_partition)
     table.persist()
     weight_sum = sum(weights[c] * n for c, n in counts.items())
     fitted, seconds = {}, {}

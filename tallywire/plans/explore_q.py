@@ -269,7 +269,7 @@ def win_cum_share_n80(spark, sf_dir):
     return explore.covering(explore.concentration(events(spark, sf_dir)))
 
 
-_DRAW = "(attack_id * 7919 + 42) % 10007"
+_DRAW = explore.draw_sql("attack_id", 42)
 
 
 @query("win_strat_sample", f"""WITH r AS (SELECT attack_id, type, row_number() OVER (PARTITION BY type ORDER BY {_DRAW}, attack_id) AS rn,
@@ -307,11 +307,10 @@ def srt_fixed_order(spark, sf_dir):
 @query("set_union_shift", """WITH c AS (SELECT attack_id % 6 AS chunk, attack_id, start_time + CAST(attack_id % 6 AS INT) * INTERVAL '50' SECOND AS start_time FROM st)
 SELECT CAST(chunk AS INT) AS chunk, attack_id, start_time FROM c""")
 def set_union_shift(spark, sf_dir):
-    from tallywire.streaming.windows import appended_chunks
+    from tallywire.streaming.windows import shifted_chunks
 
-    st = stream(spark, sf_dir).select("attack_id", "start_time")
-    chunks = [st.filter(F.col("attack_id") % 6 == i) for i in range(6)]
-    return appended_chunks(chunks, 50, ["start_time"])
+    st = stream(spark, sf_dir).select((F.col("attack_id") % 6).cast("int").alias("chunk"), "attack_id", "start_time")
+    return shifted_chunks(st, "chunk", 50, ["start_time"])
 
 
 @query("set_common", """SELECT victim FROM ev WHERE split = 'test' INTERSECT SELECT victim FROM ev WHERE split = 'genericity' ORDER BY victim""")

@@ -5,7 +5,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from tallywire import names
 from tallywire.functions.expressions import class_code
-from tallywire.operators import learn, metrics, mixture, neighbours, resample
+from tallywire.operators import explore, learn, metrics, mixture, neighbours, resample
 from tallywire.plans.features_q import LABEL_SQL, ab, round_sql, rounded
 from tallywire.plans.registry import query, share
 from tallywire.plans.tables import EV, SCHEMAS, ST, components, events, stream
@@ -45,8 +45,8 @@ _BLENDED = """SELECT {b}.id, b.copy, b.label,
  round(list_sum(list_transform(range(1, len(b.vec) + 1), lambda i: (b.vec[i] + b.gap * (o.vec[i] - b.vec[i])) * i)), 6) AS checksum,
  round(b.vec[1] + b.gap * (o.vec[1] - b.vec[1]), 6) AS first_value
 FROM drawn b JOIN nnc x ON x.q = b.id AND x.rn = b.rank JOIN vecs o ON o.id = x.id""".replace("{b}", "b")
-_DRAWN = """drawn AS (SELECT c.*, u.copy, (c.id * 31 + u.copy * 17 + 42) % least(5, c.n - 1) + 1 AS rank,
- ((c.id * 7919 + u.copy * 104729 + 42) % 10007) / 10007.0::DOUBLE AS gap FROM copies c, LATERAL (SELECT unnest(range(0, c.copies)) AS copy) u)"""
+_DRAWN = """drawn AS (SELECT c.*, u.copy, (c.id % 2147483647 * 31 + u.copy * 17 + 42) % least(5, c.n - 1) + 1 AS rank,
+ ((c.id % 2147483647 * 7919 + u.copy * 104729 + 42) % 10007) / 10007.0::DOUBLE AS gap FROM copies c, LATERAL (SELECT unnest(range(0, c.copies)) AS copy) u)"""
 
 
 def _shown(new):
@@ -54,7 +54,7 @@ def _shown(new):
     return rounded(new.select("id", "copy", "label", weighted.alias("checksum"), F.get("vec", F.lit(0)).alias("first_value")))
 
 
-@query("ml_smote", f"""WITH ranked AS (SELECT v.*, s.n, s.target, row_number() OVER (PARTITION BY v.label ORDER BY (v.id * 7919 + 42) % 10007, v.id) AS rn
+@query("ml_smote", f"""WITH ranked AS (SELECT v.*, s.n, s.target, row_number() OVER (PARTITION BY v.label ORDER BY {explore.draw_sql("v.id", 42)}, v.id) AS rn
  FROM vecs v JOIN vsize s ON v.label = s.label WHERE s.n < s.target AND s.n > 1),
 copies AS (SELECT *, (target - n) // n + CASE WHEN rn <= (target - n) % n THEN 1 ELSE 0 END AS copies FROM ranked),
 {_DRAWN} {_BLENDED}""")

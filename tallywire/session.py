@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -19,6 +21,7 @@ def build_session(master: str = "local[*]", app: str = "tallywire", **conf: str)
         .config("spark.sql.ansi.enabled", "true")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.ui.enabled", "false")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
     for key, value in conf.items():
         builder = builder.config(key, value)
@@ -39,12 +42,20 @@ def fits_one_task(df: DataFrame, limit: int | None = None) -> bool:
     return df.count() <= bound
 
 
+def is_local(master: str) -> bool:
+    return master == "local" or master.startswith("local[")
+
+
 def scratch_root(spark: SparkSession) -> str:
-    """The shared folder of the cluster; a temporary one only where none is set."""
+    """The shared folder of the cluster. On one machine, and only there, a temporary folder stands in for it
+    and is removed at the end."""
     shared = spark.conf.get("spark.checkpoint.dir", None)
     current = spark.sparkContext.getCheckpointDir()
     if shared is None and current is None:
+        if not is_local(spark.sparkContext.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         shared = tempfile.mkdtemp(prefix="tallywire-")
+        atexit.register(shutil.rmtree, shared, ignore_errors=True)
     if current is None:
         spark.sparkContext.setCheckpointDir(shared)
     return shared or current

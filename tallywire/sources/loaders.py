@@ -37,12 +37,27 @@ def csv_path(root: str, set_name: str, kind: str) -> str:
     return f"{root}/traffic_{set_name}_{kind}.csv"
 
 
+def stored_csv(spark: SparkSession, root: str, set_name: str, kind: str) -> str:
+    """The plain file of a set, or the gzip one if only that exists."""
+    plain = csv_path(root, set_name, kind)
+    return f"{plain}.gz" if not path_exists(spark, plain) and path_exists(spark, f"{plain}.gz") else plain
+
+
 def read_csv(spark: SparkSession, root: str, kind: str, sets: list[str]) -> DataFrame:
-    """CSV files (plain or gzip) of some sets as one typed table tagged with the set."""
-    paths = [csv_path(root, s, kind) for s in sets]
-    raw = spark.read.schema(SCHEMAS[kind]).option("header", True).csv(paths)
-    tagged = raw.withColumn("set_name", F.regexp_extract("_metadata.file_path", r"traffic_(Set[A-Z])_", 1))
-    return tagged.withColumns({c: lenient_timestamp(c) for c in TIME_COLUMNS[kind]})
+    """CSV files (plain or gzip) of some sets as one typed table tagged with the set.
+
+    Columns are found by the names in each file's header, in any order; a missing one is an error, further ones are left out.
+    """
+    parts = {s: _by_header(spark, stored_csv(spark, root, s, kind), SCHEMAS[kind]) for s in sets}
+    return tagged_union(parts).withColumns({c: lenient_timestamp(c) for c in TIME_COLUMNS[kind]})
+
+
+def _by_header(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    raw = spark.read.option("header", True).csv(path)
+    missing = [f.name for f in schema if f.name not in raw.columns]
+    if missing:
+        raise ValueError(f"{path} has no column {', '.join(missing)}")
+    return raw.select(*[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in schema])
 
 
 def tagged_union(tables: dict[str, DataFrame]) -> DataFrame:

@@ -25,6 +25,12 @@ def appended_chunks(chunks: list[DataFrame], seconds: int, times: list[str]) ->
     return out
 
 
+def shifted_chunks(df: DataFrame, chunk: str, seconds: int, times: list[str]) -> DataFrame:
+    """The same for rows that carry their chunk number: one scan, one projection."""
+    moved = lambda c: F.timestamp_add("SECOND", F.col(chunk) * seconds, F.col(c))
+    return df.withColumns({c: moved(c) for c in times})
+
+
 def windowed(
     df: DataFrame, time: str, seconds: float, anchor_us: int | None = None, drop_edge: bool = False
 ) -> DataFrame:

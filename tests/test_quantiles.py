@@ -57,3 +57,23 @@ def test_only_oversized_keys_are_split(skewed):
     df, rows = skewed
     assert [r["k"] for r in oversized_groups(df, ["k"], 100).collect()] == [0]
     assert oversized_groups(df, ["k"], 100_000) is None
+
+
+@pytest.mark.parametrize("limit", [5, 1_000_000])
+def test_odd_groups_are_the_same_on_both_paths(spark, limit):
+    inf, nan = float("inf"), float("nan")
+    rows = [("a", float(i)) for i in range(20)] + [("b", None)] * 20 + [(None, float(i * i)) for i in range(21)]
+    rows += [("inf", -inf)] * 7 + [("inf", float(i)) for i in range(9)] + [("inf", inf)] * 8
+    rows += [("nan", nan)] * 6 + [("nan", float(i)) for i in range(14)] + [("wide", v) for v in (-1.7e308, 1.7e308)] * 10
+    df = spark.createDataFrame(rows, "k string, v double")
+    wanted = {"low": (F.col("v"), 0.1), "mid": (F.col("v"), 0.5), "high": (F.col("v"), 0.9)}
+    plain = {r["k"]: str(r) for r in df.groupBy("k").agg(
+        *[F.percentile(c, F.lit(p)).alias(n) for n, (c, p) in wanted.items()]).collect()}
+    assert {r["k"]: str(r) for r in quantile_table(df, ["k"], wanted, limit).collect()} == plain and len(plain) == 6
+    nothing = df.filter("k = 'b'")
+    assert [r["mid"] for r in quantile_table(nothing, [], {"mid": wanted["mid"]}, limit).collect()] == [None]
+    assert quantile_table(df.limit(0), ["k"], wanted, limit).count() == 0
+    some = df.filter("k IS NULL OR k IN ('a', 'b')")
+    both = {r["k"]: (r["v_median"], r["v_mad"]) for r in median_and_deviation(some, ["k"], {"v": F.col("v")}, limit).collect()}
+    squares = np.arange(21.0) ** 2
+    assert both == {"a": (9.5, 5.0), "b": (None, None), None: (100.0, np.median(np.abs(squares - 100)))}

@@ -51,3 +51,33 @@ def test_stratified_quota(spark, tiny_groups):
     got = {r["type"]: r["count"] for r in stratified_sample(df, "attack_id", 20).groupBy("type").count().collect()}
     assert got == {"a": 18, "b": 1, "c": 1}
     assert stratified_sample(df, "attack_id", 1000).count() == 100
+
+
+@pytest.mark.parametrize("limit", [1, 10_000])
+def test_null_groups_and_null_sums(spark, limit):
+    data = [(None if i % 3 == 0 else i % 2, None if i < 40 else i, i) for i in range(120)]
+    df = spark.createDataFrame(data, "g int, x int, id int")
+    got = {r["id"]: (r["rn"], r["total"]) for r in ordered(df, ["g"], [F.asc("id")], "rn", {"total": F.col("x")}, limit).collect()}
+    want, state = {}, {}
+    for g, x, i in data:
+        n, t = state.get(g, (0, None))
+        state[g] = want[i] = (n + 1, t if x is None else (t or 0) + x)
+    assert got == want
+    back = {r["id"]: r["prev_id"] for r in with_previous(df, ["g"], [F.asc("id")], ["id"], limit).collect()}
+    last = {}
+    for g, _, i in data:
+        assert back[i] == last.get(g)
+        last[g] = i
+
+
+def test_samples_cover_every_key(spark):
+    from tallywire.operators.explore import draw, sample_rows, stratified_sample
+    ids = [r["id"] for r in sample_rows(spark.range(3_000_000), "id", 1500, 42).collect()]
+    assert min(ids) < 30_000 and max(ids) > 2_970_000 and len({i % 10_007 for i in ids}) > 1000
+    thirds = [sum(a <= i < a + 1_000_000 for i in ids) for a in (0, 1_000_000, 2_000_000)]
+    assert all(400 < t < 600 for t in thirds)
+    huge = spark.range(2**62, 2**62 + 1000)
+    assert huge.select(draw("id", 1).alias("d")).distinct().count() == 1000
+    mixed = spark.createDataFrame([(i, None if i < 10 else "a") for i in range(100)], "id bigint, type string")
+    assert stratified_sample(mixed, "id", 100).count() == 100
+    assert stratified_sample(mixed, "id", 50).filter("type IS NULL").count() == 5
