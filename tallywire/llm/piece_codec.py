@@ -146,7 +146,7 @@ class PieceCodec:
         lengths = self._length[ids]
         if self._unknown and lengths.sum() != len(where) - 1:
             # An unknown piece stands for as many characters as are left over between known ones.
-            shown = self._segment.encode(normal, out_type="immutable_proto").pieces
+            shown = self._segment.encode(normal, return_type="proto").pieces
             lengths = np.array([len(p.surface.encode()) for p in shown], np.int64)
         stops = np.cumsum(lengths)
         return ids, where[stops - lengths], where[stops]
