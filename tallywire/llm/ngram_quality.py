@@ -89,7 +89,8 @@ def corpus_counts(docs: DataFrame, trusted: DataFrame, id_column: str, text_colu
     """(bucket, raw, target): n-grams of all documents and of those whose id is in ``trusted`` (one column)."""
     known = trusted.select(F.col(trusted.columns[0]).alias("t")).filter("t IS NOT NULL").distinct()
     rows = docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"))
-    flagged = rows.join(known, rows["id"] == known["t"], "left").select("text", F.col("t").isNotNull().alias("good"))
+    # Always a shuffle on the id: the labels grow with the corpus, so they are never broadcast.
+    flagged = rows.join(known.hint("merge"), rows["id"] == known["t"], "left").select("text", F.col("t").isNotNull().alias("good"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         raw, target = np.zeros(BUCKETS, np.int64), np.zeros(BUCKETS, np.int64)
