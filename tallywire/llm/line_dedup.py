@@ -22,9 +22,9 @@ MIN_PAGES = 5
 
 def drop_boilerplate(
     pages: DataFrame, id_column: str = "doc_id", text_column: str = "text", host_column: str = "source",
-    ratio: float = RATIO, min_pages: int = MIN_PAGES,
+    ratio: float = RATIO, min_pages: int = MIN_PAGES, count_column: str | None = "n_dropped",
 ) -> DataFrame:
-    """``pages`` with ``text_column`` rewritten, and n_dropped: the number of lines that went."""
+    """``pages`` with ``text_column`` rewritten, and in ``count_column``, if named, the number of lines that went."""
     host, page = F.coalesce(F.concat(F.lit("h"), F.col(host_column).cast("string")), F.lit("")), F.col(id_column)
     lines = F.split(F.col(text_column), "\n", -1)
     shown = F.filter(F.array_distinct(lines), lambda x: F.trim(F.translate(x, "\t\r\f\x0b", "    ")) != "")
@@ -45,7 +45,7 @@ def drop_boilerplate(
     dropped = F.when(F.col("_drop").isNull(), 0).otherwise(F.size(old) - F.size(kept))
     return joined.select(*[
         (text if c == text_column else F.col("_row")[c]).alias(c) for c in pages.columns
-    ], dropped.cast("bigint").alias("n_dropped"))
+    ], *([dropped.cast("bigint").alias(count_column)] if count_column else []))
 
 
 ORACLE = f"""

@@ -113,12 +113,12 @@ def plain_removal(rows, length=50):
             if first[b[p:p + length]] < own:
                 gone[p:p + length] = True
         spans = int(np.count_nonzero(np.diff(gone.astype(int), prepend=0) == 1)) if len(b) else 0
-        out.append((i or -1, len(b), spans, bytes(x for x, g in zip(b, gone) if not g)))
+        out.append((-1 if i is None else i, len(b), spans, bytes(x for x, g in zip(b, gone) if not g)))
     return sorted(out)
 
 
 def removal(out):
-    return sorted((r.row.doc_id or -1, r.n_bytes, len(r.begins), bytes(r.kept)) for r in out.collect())
+    return sorted((-1 if r.row.doc_id is None else r.row.doc_id, r.n_bytes, len(r.begins), bytes(r.kept)) for r in out.collect())
 
 
 @pytest.mark.parametrize("batch_bytes,hot", [(8 << 20, 2000), (700, 3), (3000, 10)])
