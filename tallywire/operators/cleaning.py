@@ -34,10 +34,14 @@ def _fit(df: DataFrame, columns: list[str], q: float) -> tuple[dict[str, float],
     return {c: v for c, v in row.items() if v is not None}, 0.0 if median is None else median
 
 
-def fit_thresholds(events: DataFrame, components: DataFrame, q: float = names.CAP_QUANTILE) -> Thresholds:
-    """Exact cap quantiles and non-zero length medians of both training tables."""
-    event_caps, event_median = _fit(events, names.EVENT_CAP_COLUMNS, q)
-    component_caps, component_median = _fit(components, names.COMPONENT_CAP_COLUMNS, q)
+def fit_thresholds(
+    events: DataFrame | None = None, components: DataFrame | None = None, q: float = names.CAP_QUANTILE
+) -> Thresholds:
+    """Exact cap quantiles and non-zero length medians of the given training tables; one that
+    is not needed can be left out and is then not read."""
+    event_caps, event_median = _fit(events, names.EVENT_CAP_COLUMNS, q) if events is not None else ({}, 0.0)
+    component_caps, component_median = (
+        _fit(components, names.COMPONENT_CAP_COLUMNS, q) if components is not None else ({}, 0.0))
     return Thresholds(event_caps, component_caps, event_median, component_median, q)
 
 

@@ -106,8 +106,10 @@ def _train(spark, sf_dir):
     return events(spark, sf_dir).filter(keep), components(spark, sf_dir).filter(keep)
 
 
-def fitted(spark, sf_dir):
-    return cleaning.fit_thresholds(*_train(spark, sf_dir))
+def fitted(spark, sf_dir, kind=None):
+    """The thresholds of both tables, or of the one that is named."""
+    ev, co = _train(spark, sf_dir)
+    return cleaning.fit_thresholds(ev if kind != "components" else None, co if kind != "events" else None)
 
 
 _CAP_SQL = "\nUNION ALL ".join(
@@ -186,20 +188,20 @@ def _r(cols):
 
 @query("prj_clean_events", f"SELECT {', '.join(_EV_REST)}, {_r(_EV_NUM)} FROM evclean")
 def prj_clean_events(spark, sf_dir):
-    return rounded(cleaning.clean_events(events(spark, sf_dir), fitted(spark, sf_dir)))
+    return rounded(cleaning.clean_events(events(spark, sf_dir), fitted(spark, sf_dir, "events")))
 
 
 @query("prj_clean_components", f"""SELECT attack_id, detect_count, victim, port, split, avg_pkt_len_was_zero, is_port_zero,
  {", ".join(x.token_column(t) for t in names.ATTACK_TOKENS)}, {_r(["packet_speed", "avg_packet_len", "source_ip_count"])} FROM coclean""")
 def prj_clean_components(spark, sf_dir):
-    return rounded(cleaning.clean_components(components(spark, sf_dir), fitted(spark, sf_dir)))
+    return rounded(cleaning.clean_components(components(spark, sf_dir), fitted(spark, sf_dir, "components")))
 
 
 @query("fit_apply_splits", """SELECT split, count(*) AS n, round(avg(packet_speed), 4) AS speed, round(avg(avg_packet_len), 4) AS length,
  CAST(sum(avg_pkt_len_was_zero) AS BIGINT) AS zero_lengths, round(max(packet_speed), 4) AS top_speed, round(avg(duration_s), 4) AS duration
 FROM evclean WHERE split <> 'train' GROUP BY split""")
 def fit_apply_splits(spark, sf_dir):
-    cleaned = cleaning.clean_events(events(spark, sf_dir).filter("split <> 'train'"), fitted(spark, sf_dir))
+    cleaned = cleaning.clean_events(events(spark, sf_dir).filter("split <> 'train'"), fitted(spark, sf_dir, "events"))
     return rounded(cleaned.groupBy("split").agg(
         F.count("*").alias("n"), F.avg("packet_speed").alias("speed"), F.avg("avg_packet_len").alias("length"),
         F.sum("avg_pkt_len_was_zero").alias("zero_lengths"), F.max("packet_speed").alias("top_speed"),
@@ -225,7 +227,7 @@ def prj_duration(spark, sf_dir):
 @query("prj_zero_impute", """SELECT e.attack_id, CAST(e.avg_packet_len = 0 AS INT) AS was_zero,
  CASE WHEN e.avg_packet_len = 0 THEN CAST(floor(k.ev_median) AS INT) ELSE e.avg_packet_len END AS avg_packet_len FROM ev e CROSS JOIN caps k""")
 def prj_zero_impute(spark, sf_dir):
-    median = fitted(spark, sf_dir).event_avg_pkt_len_median
+    median = fitted(spark, sf_dir, "events").event_avg_pkt_len_median
     length = F.col("avg_packet_len")
     return events(spark, sf_dir).select(
         "attack_id", x.flag(length == 0).alias("was_zero"),
@@ -234,7 +236,7 @@ def prj_zero_impute(spark, sf_dir):
 
 @query("prj_cap", "SELECT c.attack_id, c.detect_count, round(least(CAST(c.packet_speed AS DOUBLE), k.co_packet_speed), 6) AS packet_speed FROM co c CROSS JOIN caps k")
 def prj_cap(spark, sf_dir):
-    cap = fitted(spark, sf_dir).component_caps["packet_speed"]
+    cap = fitted(spark, sf_dir, "components").component_caps["packet_speed"]
     return rounded(components(spark, sf_dir).select("attack_id", "detect_count", x.capped("packet_speed", cap).alias("packet_speed")))
 
 

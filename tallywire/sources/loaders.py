@@ -75,6 +75,12 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(where)
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    jvm = spark.sparkContext._jvm
+    where = jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def load_split(spark: SparkSession, root: str, kind: str, split: str) -> DataFrame:
     """One split of one table: from Parquet if it was written, else from CSV.
 

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from tallywire.functions.expressions import micros
 from tallywire.functions.ranking import ordered, with_previous
+from tallywire.session import materialize
 
 
 def counter_rates(
@@ -27,25 +28,30 @@ def counter_rates(
     })
 
 
-def effective_phases(phases: DataFrame) -> DataFrame:
-    """Phases cut where the next one starts: a new phase replaces the running one.
-
-    A schedule has one row per phase, so ordering it in one place is cheap.
-    """
-    following = F.lead("start_offset_s").over(Window.partitionBy(F.lit(0)).orderBy("start_offset_s"))
+def effective_phases(phases: DataFrame, limit: int | None = None) -> DataFrame:
+    """Phases cut where the next one starts: a new phase replaces the running one."""
+    later = with_previous(phases, [], [F.desc("start_offset_s"), F.desc("duration_s")], ["start_offset_s"], limit)
     end = F.col("start_offset_s") + F.col("duration_s")
-    return phases.withColumn("end_offset_s", F.least(end, F.coalesce(following, end)))
+    cut = F.least(end, F.coalesce("prev_start_offset_s", end))
+    return later.withColumn("end_offset_s", cut).drop("prev_start_offset_s")
 
 
-def in_phase(samples: DataFrame, phases: DataFrame, at: str = "offset_s", bucket_s: float = 86400.0) -> DataFrame:
+def in_phase(samples: DataFrame, phases: DataFrame, at: str = "offset_s", bucket_s: float | None = None) -> DataFrame:
     """Attach the phase with start <= at < end; samples outside every phase are dropped.
 
     A phase is listed under each time bucket it touches and joined on the bucket, then
-    filtered: an equi-join, never a comparison of every sample with every phase.
+    filtered: an equi-join, never a comparison of every sample with every phase. Without a
+    given width, buckets are as wide as the shortest phase, or a sixteenth of the mean one if that is wider, so a sample
+    meets few phases and a phase few buckets.
     """
+    cut = materialize(effective_phases(phases).filter("end_offset_s > start_offset_s"))
+    if bucket_s is None:
+        length = F.col("end_offset_s") - F.col("start_offset_s")
+        shortest, mean = cut.agg(F.min(length), F.avg(length)).first()
+        bucket_s = max(shortest, mean / 16) if shortest else 1.0
     first = F.floor(F.col("start_offset_s") / bucket_s)
     last = F.floor(F.col("end_offset_s") / bucket_s)
-    spread = effective_phases(phases).withColumn("_bucket", F.explode(F.sequence(first, last)))
+    spread = cut.withColumn("_bucket", F.explode(F.sequence(first, last)))
     placed = samples.withColumn("_bucket", F.floor(F.col(at) / bucket_s))
     inside = (F.col(at) >= F.col("start_offset_s")) & (F.col(at) < F.col("end_offset_s"))
     return placed.join(spread, "_bucket").filter(inside).drop("_bucket")

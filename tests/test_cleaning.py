@@ -72,3 +72,40 @@ def test_split_loading(spark, tmp_path):
         loaders.load_split(spark, root, "events", "validation")
     plan = loaders.load_split(spark, root, "events", "train")._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(split" in plan
+
+
+def test_csv_columns_are_found_by_name(spark, tmp_path):
+    import gzip
+
+    from tallywire.sources.loaders import SCHEMAS, read_csv
+    columns = [f.name for f in SCHEMAS["events"]]
+    row = {c: "7" for c in columns} | {"packet_speed": "11", "data_speed": "22", "start_time": "2024-01-02 03:04:05", "end_time": "0",
+                                       "victim": "v", "type": "Normal traffic", "port": "no number"}
+    order = columns[::-1] + ["further"]
+    text = ",".join(order) + "\n" + ",".join(row.get(c, "x") for c in order) + "\n"
+    (tmp_path / "traffic_SetA_events.csv").write_text(text)
+    with gzip.open(tmp_path / "traffic_SetB_events.csv.gz", "wt") as f:
+        f.write(text)
+    for got in read_csv(spark, str(tmp_path), "events", ["SetA", "SetB"]).collect():
+        assert (got["packet_speed"], got["data_speed"], got["port"], got["end_time"]) == (11, 22, None, None)
+        assert got["start_time"].hour == 3 and got["set_name"] in ("SetA", "SetB")
+    (tmp_path / "traffic_SetC_events.csv").write_text("attack_id\n1\n")
+    with pytest.raises(ValueError):
+        read_csv(spark, str(tmp_path), "events", ["SetC"])
+
+
+def test_missing_category_has_its_own_code(spark):
+    from tallywire.operators.cleaning import category_codes
+    df = spark.createDataFrame([("b",), (None,), ("a",)], "c string")
+    assert {r["c"]: r["c_code"] for r in category_codes(df, "c").collect()} == {"a": 0, "b": 1, None: -1}
+
+
+def test_top_lists_leave_null_out(spark):
+    from tallywire.operators.explore import top_values_and_other
+    df = spark.createDataFrame([(None,)] * 3 + [("a",)] * 2 + [("b",)], "c string")
+    assert {r["c"]: r["n"] for r in top_values_and_other(df, "c", 1).collect()} == {"a": 2, "Other": 1}
+
+
+def test_scratch_must_be_shared():
+    from tallywire.session import is_local
+    assert is_local("local[8]") and is_local("local") and not is_local("local-cluster[2,1,512]") and not is_local("spark://host:7077")
