@@ -175,10 +175,11 @@ class Suite:
         return out
 
 
-def _spread(table: DataFrame, rows: int, per_partition: int) -> DataFrame:
-    """Partitions that depend on the rows alone, because forests draw their bags per partition:
-    the same rows give the same model on any number of cores."""
-    return table.repartition(max(1, -(-rows // per_partition)), "features")
+def _spread(table: DataFrame, rows: int, per_partition: int, key: str | None) -> DataFrame:
+    """Partitions and an order that depend on the rows alone, because forests draw their bags row by row in each
+    partition: with a key, the same rows give the same model on any number of cores."""
+    parts = max(1, -(-rows // per_partition))
+    return table.repartition(parts, key).sortWithinPartitions(key).drop(key) if key else table.repartition(parts)
 
 
 def fit_suite(
@@ -196,7 +197,9 @@ def fit_suite(
     counts = class_counts(train)
     weights = weights or balanced_weights(counts)
     scaler = Scaler.fit(train, columns)
-    table = _spread(model_table(train, scaler, weights), sum(counts.values()), settings.rows_per_partition)
+    named = key if key in train.columns else None
+    table = model_table(train, scaler, weights, keep=(named,) if named else ())
+    table = _spread(table, sum(counts.values()), settings.rows_per_partition, named)
     table.persist()
     weight_sum = sum(weights[c] * n for c, n in counts.items())
     fitted, seconds = {}, {}

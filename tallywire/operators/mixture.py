@@ -13,14 +13,15 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark.ml.clustering import KMeans
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tallywire.functions.ranking import top_per_group
 from tallywire.session import materialize
 
 SIZES = (2, 3, 4, 5)
 FLOOR = 1e-4
-_SEED_ROWS = 2000
+SEED_ROUNDS = 5
 _SUMS = "label int, size int, part int, dim int, r double, x double, xx double"
 
 
@@ -112,18 +113,12 @@ def _update(s: dict) -> Mixture:
     return Mixture(r / r.sum(), means, variances)
 
 
-def _seed_centres(x: np.ndarray, k: int, rng: np.random.Generator) -> np.ndarray:
-    """Start centres from a bounded sample: spread-out picks, then a few averaging rounds."""
-    centres = [x[rng.integers(len(x))]]
-    for _ in range(1, k):
-        gap = np.min([((x - c) ** 2).sum(axis=1) for c in centres], axis=0)
-        total = gap.sum()
-        centres.append(x[rng.choice(len(x), p=gap / total) if total > 0 else rng.integers(len(x))])
-    centres = np.array(centres)
-    for _ in range(20):
-        owner = ((x[:, None, :] - centres[None]) ** 2).sum(axis=2).argmin(axis=1)
-        centres = np.array([x[owner == j].mean(axis=0) if (owner == j).any() else centres[j] for j in range(k)])
-    return centres
+def _seed_centres(points: DataFrame, k: int, seed: int) -> np.ndarray:
+    """Start centres from all rows: parallel k-means seeding and a few averaging rounds."""
+    fitted = KMeans(k=k, initMode="k-means||", initSteps=2, maxIter=SEED_ROUNDS, seed=seed, featuresCol="v").fit(points)
+    centres = np.array(fitted.clusterCenters())
+    # Fewer different points than components: repeat what there is.
+    return centres[np.arange(k) % len(centres)]
 
 
 def fit_per_class(
@@ -137,20 +132,14 @@ def fit_per_class(
     """
     data = materialize(rows.select("id", F.col("label").cast("int").alias("label"), F.col("vec").cast("array<double>").alias("vec")))
     counts = {r["label"]: r["count"] for r in data.groupBy("label").count().collect()}
-    sample = top_per_group(data, ["label"], [F.xxhash64("id"), F.col("id")], _SEED_ROWS)
-    seeds: dict[int, list] = {}
-    for r in sample.select("label", "vec").collect():
-        seeds.setdefault(r["label"], []).append(r["vec"])
-
+    vectors = data.select("label", "vec").persist()  # lost blocks are read again from the checkpoint
+    width = len(data.select("vec").first()["vec"]) if counts else 0
     starts: Fits = {}
     for label, n in sorted(counts.items()):
-        x = np.array(seeds[label], dtype=float)
-        d = x.shape[1]
-        tried = [k for k in sizes if n >= k * 2 * d] or [1]
-        for k in tried:
-            centres = _seed_centres(x, k, np.random.default_rng(seed))
-            starts[(label, k)] = Mixture(np.full(k, 1 / k), centres, np.ones((k, d)))
-    vectors = data.select("label", "vec").persist()  # lost blocks are read again from the checkpoint
+        points = vectors.filter(F.col("label") == label).select(array_to_vector("vec").alias("v"))
+        for k in [k for k in sizes if n >= k * 2 * width] or [1]:
+            centres = _seed_centres(points, k, seed) if k > 1 else np.zeros((1, width))
+            starts[(label, k)] = Mixture(np.full(k, 1 / k), centres, np.ones((k, width)))
     fits: Fits = {key: _update(s) for key, s in _sums(vectors, starts, hard=True).items()}
     before: dict[tuple[int, int], float] = {}
     going = dict(fits)

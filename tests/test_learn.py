@@ -44,8 +44,28 @@ def test_suite_beats_majority(rows):
     floor = base.first()["f1_macro"]
     assert list(scores) and set(scores) == set(names.MODELS)
     assert all(v > floor + 0.2 for v in scores.values())
-    p = suite.probabilities("Random Forest", df).select((F.col("p_0") + F.col("p_1") + F.col("p_2")).alias("s"))
-    assert p.filter(F.abs(F.col("s") - 1) > 1e-9).isEmpty()
+    best = F.greatest("p_0", "p_1", "p_2")
+    chosen = F.when(F.col("y_pred") == 0, F.col("p_0")).when(F.col("y_pred") == 1, F.col("p_1")).otherwise(F.col("p_2"))
+    for name in names.MODELS:
+        p = suite.probabilities(name, df)
+        assert p.count() == 600
+        assert p.filter(F.abs(F.col("p_0") + F.col("p_1") + F.col("p_2") - 1) > 1e-9).isEmpty(), name
+        assert p.filter(chosen < best - 1e-9).isEmpty(), name
+        same = p.select("attack_id", F.col("y_pred").alias("p")).join(suite.predict(name, df), "attack_id")
+        assert same.filter("p <> y_pred").isEmpty(), name
+
+
+def test_duplicate_ids_are_refused(rows):
+    df = rows[0]
+    with pytest.raises(ValueError):
+        learn.fit_suite(df.unionByName(df.limit(1)), COLUMNS, models=["Decision Tree"], settings=FAST)
+
+
+def test_same_rows_give_the_same_forest(rows):
+    df = rows[0]
+    said = [learn.fit_suite(df.repartition(n), COLUMNS, models=["Random Forest"], settings=FAST).probabilities("Random Forest", df)
+            .orderBy("attack_id").collect() for n in (1, 7)]
+    assert said[0] == said[1]
 
 
 def test_store_checks_version(spark, rows, tmp_path):
