@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, types as T
 
 from tallywire.operators.cleaning import Thresholds
-from tallywire.sources.loaders import csv_path, path_exists
+from tallywire.sources.loaders import csv_path
 
 _CAPS = T.MapType(T.StringType(), T.DoubleType())
 THRESHOLD_SCHEMA = T.StructType([
