@@ -74,7 +74,7 @@ def str_alert_count(spark, sf_dir):
     return alerts(spark, sf_dir).filter("alert_raised").select("window_start", "n_predicted_ddos")
 
 
-@query("str_alert_prob", """SELECT attack_id, round(p_ddos, 6) AS p_ddos, printf('DDoS detected: pps=%.0f, src_ips=%d, p=%.2f', CAST(packet_speed AS DOUBLE), avg_source_ip_count, p_ddos) AS message
+@query("str_alert_prob", """SELECT attack_id, round(p_ddos, 6) AS p_ddos, printf('attack probability %.2f at %.0f packets a second from %d sources', p_ddos, CAST(packet_speed AS DOUBLE), avg_source_ip_count) AS message
 FROM st WHERE p_ddos >= 0.5""")
 def str_alert_prob(spark, sf_dir):
     return rounded(windows.probability_alerts(stream(spark, sf_dir)).select("attack_id", "p_ddos", "message"))

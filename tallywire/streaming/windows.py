@@ -175,8 +175,8 @@ def probability_alerts(scored: DataFrame, threshold: float = 0.5) -> DataFrame:
     """Rows whose DDoS probability reaches the threshold, with a message."""
     hits = scored.filter(F.col("p_ddos") >= threshold)
     message = F.format_string(
-        "DDoS detected: pps=%.0f, src_ips=%d, p=%.2f", F.col("packet_speed").cast("double"),
-        F.col("avg_source_ip_count"), F.col("p_ddos"))
+        "attack probability %.2f at %.0f packets a second from %d sources", F.col("p_ddos"),
+        F.col("packet_speed").cast("double"), F.col("avg_source_ip_count"))
     return hits.withColumn("message", message)
 
 
