@@ -12,10 +12,15 @@ from __future__ import annotations
 import json
 import os
 import re
+import struct
 
-import numpy as np
+_REMEMBERED = 250_000
+
+
+def pack(ids: list[int]) -> bytes:
+    """Little-endian unsigned 32-bit numbers."""
+    return struct.pack(f"<{len(ids)}I", *ids)
 
-_REMEMBERED = 400_000
 
 #: Outside of this, letters, digits, white space, case or composition need the library's tables.
 _UNUSUAL = re.compile("[^\t\n\r -~À-ÖØ-öø-ÿ]")
@@ -46,6 +51,7 @@ class UnitEncoder:
         self._special = [t["content"] for t in spec["added_tokens"]]
         self._pattern, self._lower = _pattern_of(spec)
         self._known: dict[str, bytes] = {}
+        self._older: dict[str, bytes] = {}
 
     def units(self, text: str) -> list[str] | None:
         """The units of ``text``, or None where only the library may cut it."""
@@ -56,17 +62,23 @@ class UnitEncoder:
         return self._pattern.findall(text.lower() if self._lower else text)
 
     def trim(self) -> None:
-        """Empty the memory if it has got too large; to be called between batches of texts."""
+        """Start a new memory if it has got too large; to be called between batches of texts.
+
+        The one before it is kept, and units found there move over, so frequent ones are never encoded again.
+        """
         if len(self._known) > _REMEMBERED:
-            self._known = {}
+            self._known, self._older = {}, self._known
 
     def learn(self, cut: list[list[str] | None]) -> dict[str, bytes]:
         """Remember the ids of all given units."""
-        new = list(set().union(*[u for u in cut if u is not None]).difference(self._known))
+        new = set().union(*[u for u in cut if u is not None]).difference(self._known)
+        again = new.intersection(self._older)
+        self._known.update((u, self._older[u]) for u in again)
+        new = list(new - again)
         for start in range(0, len(new), 4096):
             part = new[start:start + 4096]
             for unit, e in zip(part, self.library.encode_batch_fast(part, add_special_tokens=False)):
-                self._known[unit] = np.array(e.ids, "<u4").tobytes()
+                self._known[unit] = pack(e.ids)
         return self._known
 
     def encode(self, texts: list[str]) -> list[bytes]:
@@ -77,7 +89,7 @@ class UnitEncoder:
         return [self._whole(t) if u is None else b"".join(map(known, u)) for t, u in zip(texts, cut)]
 
     def _whole(self, text: str) -> bytes:
-        return np.array(self.library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        return pack(self.library.encode(text, add_special_tokens=False).ids)
 
 
 _CONTROL = re.compile("[^\t\n\r -~]")
