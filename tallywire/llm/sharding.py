@@ -15,20 +15,20 @@ from pyspark.sql.functions import pandas_udf
 
 from tallywire.session import materialize
 
-SAMPLE = 4096
 RANGES = 128
+RANGE_ROWS = 500_000
 _ROUNDS = 8
 
 
 def shard_by_size(
     docs: DataFrame, shards: int, key: Column, tie: Column, size: Column, columns: dict[str, Column] | None = None,
-    sample: int = SAMPLE, ranges: int = RANGES,
+    sample: int | None = None, ranges: int | None = None,
 ) -> DataFrame:
     """Range-partition by (key, tie) into ``shards`` pieces whose summed sizes differ by about one record.
 
-    ``key`` and ``tie`` are bigint; NULL counts as the smallest. At most ``ranges`` ranges are made in the first
-    round, and each of at most ``_ROUNDS`` more rounds cuts those that hold over twice their due. Rows that are equal in both are
-    kept in any order. Returns ``columns`` with range, shard, slot (0, 1, ... within a shard) and the
+    ``key`` and ``tie`` are bigint; NULL counts as the smallest. The first round makes ``ranges`` ranges (by default one for each
+    ``RANGE_ROWS`` rows, ``RANGES`` at least) from a sample of ``sample`` rows (32 a range), and each of at most ``_ROUNDS`` more rounds cuts those
+    that hold over twice their due. Rows that are equal in both are kept in any order. Returns ``columns`` with range, shard, slot (0, 1, ... within a shard) and the
     bytes before the record. An empty table gives an empty result.
     """
     columns = columns or {}
@@ -36,26 +36,22 @@ def shard_by_size(
         *[c.alias(n) for n, c in columns.items()], F.coalesce(key, F.lit(-2**63)).alias("_key"),
         F.coalesce(tie, F.lit(-2**63)).alias("_tie"), size.cast("bigint").alias("_size"),
     ))
-    total = rows.agg(F.sum("_size")).first()[0] or 0
-    if not total:
-        total = 1
+    n, total = rows.agg(F.count("*"), F.coalesce(F.sum("_size"), F.lit(0))).first()
+    total = total or 1
+    ranges = ranges or max(RANGES, -(-n // RANGE_ROWS))
     due = total / ranges
-    splitters = _splitters(rows, total, ranges, sample)
+    splitters = _splitters(rows, total, ranges, sample or 32 * ranges)
+    placed, stats = _measured(rows, splitters)
     for _ in range(_ROUNDS):
-        placed = rows.withColumn("range", _place(splitters)("_key", "_tie"))
-        stats = {r["range"]: (r["n"], r["bytes"]) for r in
-                 placed.groupBy("range").agg(F.count("*").alias("n"), F.sum("_size").alias("bytes")).collect()}
-        full = [r for r, (n, b) in stats.items() if b > 2 * due and n > 1]
-        if not full:
-            break
-        more = []
-        for r in full:
-            pieces = int(np.ceil(stats[r][1] / due))
-            more += _splitters(placed.filter(F.col("range") == r), stats[r][1], pieces, max(64, 32 * pieces))
-        if not set(more) - set(splitters):
-            break  # records that one boundary cannot part
-        splitters = sorted(set(splitters) | set(more))
-    placed = rows.withColumn("range", _place(splitters)("_key", "_tie"))
+        more = set()
+        for r, (held, size) in stats.items():
+            if size > 2 * due and held > 1:
+                pieces = int(np.ceil(size / due))
+                more.update(_splitters(placed.filter(F.col("range") == r), size, pieces, 32 * pieces))
+        if more <= set(splitters):
+            break  # nothing is overfull but records that no boundary can part
+        splitters = sorted(more | set(splitters))
+        placed, stats = _measured(rows, splitters)
 
     order = sorted(stats)
     before_bytes = dict(zip(order, np.cumsum([0] + [stats[r][1] for r in order])[:-1].tolist()))
@@ -78,6 +74,13 @@ def shard_by_size(
         *columns, "range", "shard", (F.col("_at") - F.col("_first")).alias("slot"), "bytes_before")
 
 
+def _measured(rows: DataFrame, splitters: list[tuple[int, int]]) -> tuple[DataFrame, dict[int, tuple[int, int]]]:
+    """Rows with their range, and the exact rows and size of each range."""
+    placed = rows.withColumn("range", _place(splitters)("_key", "_tie"))
+    totals = placed.groupBy("range").agg(F.count("*").alias("n"), F.sum("_size").alias("size"))
+    return placed, {r["range"]: (r["n"], r["size"]) for r in totals.collect()}
+
+
 def _splitters(rows: DataFrame, total: int, pieces: int, sample: int) -> list[tuple[int, int]]:
     """Boundaries at the quantiles of a sample in which a record's chance follows its size.
 

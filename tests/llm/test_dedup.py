@@ -4,7 +4,6 @@ import random
 import re
 
 import numpy as np
-import pyarrow as pa
 import pytest
 import xxhash
 from hypothesis import given, settings, strategies as st

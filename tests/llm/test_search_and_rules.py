@@ -35,6 +35,7 @@ def test_shards_are_equal(make, odd_rows):
     got = shards(make(rows), sample=256, ranges=16)
     assert Counter(r.doc_id for r in got) == Counter(i for i, _ in rows)
     check_shards(got, 8)
+    check_shards(shards(make(rows), sample=6, ranges=12), 8)  # so few samples leave ranges to be cut again
     odd = shards(make(odd_rows), 3)
     assert Counter(r.doc_id for r in odd) == Counter(i for i, _ in odd_rows)
     check_shards(odd, 3)
