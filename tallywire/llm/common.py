@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import uuid
 from collections.abc import Iterator
 
@@ -19,6 +20,14 @@ def tables(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def release() -> None:
+    """Give freed memory back to the system. Workers live on between tasks and stages, so what they keep adds up."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Cut Arrow batches so that each slice holds about ``limit`` bytes of ``column``, one row at least."""
     for batch in batches:
@@ -32,6 +41,7 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = SLICE_BY
             stop = max(start + 1, int(np.searchsorted(ends, done + limit, side="right")))
             yield batch.slice(start, stop - start)
             start = stop
+    release()
 
 
 def strings(batch: pa.RecordBatch, column: str) -> list[str]:

@@ -27,6 +27,7 @@ BUCKETS = 1 << 16
 SMOOTHING = 1.0
 THRESHOLD = -0.7
 _UNIT = 1 << 16
+_SLICE = 1 << 20
 _WORD = re.compile("[^ \t-\r]+")
 _SYMBOLS = "#*$%&|<>"
 _MIN_WORDS = 10
@@ -94,7 +95,7 @@ def corpus_counts(docs: DataFrame, trusted: DataFrame, id_column: str, text_colu
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         raw, target = np.zeros(BUCKETS, np.int64), np.zeros(BUCKETS, np.int64)
-        for part in slices(batches, "text"):
+        for part in slices(batches, "text", _SLICE):
             codes, sizes = _codes(part, "text")
             good = np.repeat(part.column("good").to_numpy(zero_copy_only=False), sizes)
             raw += np.bincount(codes, minlength=BUCKETS)
@@ -126,7 +127,8 @@ def judged(
     bar = round(threshold * _UNIT)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches, "text"):
+        with_text = (pa.RecordBatch.from_arrays([b.column(0), b.column(0).field(place)], names=["row", "text"]) for b in batches)
+        for part in slices(with_text, "text", _SLICE):
             counts = np.array([base_counts(t) for t in strings(part, "text")], np.int64).reshape(-1, len(COUNTS))
             codes, sizes = _codes(part, "text")
             upto = np.concatenate([[0], np.cumsum(ratios[codes])])
@@ -134,11 +136,11 @@ def judged(
             total = upto[ends] - upto[ends - sizes]
             failed = (counts[:, 0] < _MIN_WORDS) | (100 * counts[:, 4] > _MAX_REPEAT_PERCENT * counts[:, 0])
             yield pa.RecordBatch.from_arrays([
-                *[part.column(i) for i in range(part.num_columns - 1)], *[pa.array(counts[:, i]) for i in range(len(COUNTS))],
+                part.column("row"), *[pa.array(counts[:, i]) for i in range(len(COUNTS))],
                 pa.array(failed), pa.array(total / np.maximum(sizes, 1) / _UNIT), pa.array(~failed & (total >= bar * sizes)),
-            ], names=[*part.schema.names[:-1], *COUNTS, "base_failed", "score", "kept"])
+            ], names=["row", *COUNTS, "base_failed", "score", "kept"])
 
-    rows = docs.select(F.struct("*").alias("row"), F.col(text_column).alias("text"))
+    rows, place = docs.select(F.struct("*").alias("row")), docs.columns.index(text_column)
     kind = rows.schema["row"].dataType.simpleString()
     return rows.mapInArrow(run, f"row {kind}, " + ", ".join(f"{c} bigint" for c in COUNTS)
                            + ", base_failed boolean, score double, kept boolean")

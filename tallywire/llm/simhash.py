@@ -31,7 +31,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tallywire.llm.common import link_components, partitions, slices, strings
+from tallywire.llm.common import link_components, partitions, release, slices, strings
 from tallywire.session import materialize
 
 SHINGLE = 3
@@ -154,6 +154,7 @@ def link_fingerprints(
         if got:
             a, b = _link_cells(pa.Table.from_batches(got), radius, confirm)
             yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
+            release()
 
     # A cell is bounded by two tiles; a partition by its share of all cells.
     dealt = cells.repartition(partitions(fps.sparkSession), "tab", "bits", "i", "j")

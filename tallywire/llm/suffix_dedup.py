@@ -34,15 +34,15 @@ from hashlib import blake2b
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from tallywire.llm.common import scratch_table, utf8
+from tallywire.llm.common import release, scratch_table, utf8
 from tallywire.session import materialize
 
 LENGTH = 50
 KGRAM = 20
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 6 << 20
 HOT = 2000
-_BLOCK = 1 << 19
-_CHUNK = 3 << 20
+_BLOCK = 1 << 18
+_CHUNK = 1 << 20
 _BITS = 46
 _LAST = (1 << 63) - 1
 _BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -280,7 +280,7 @@ class Batch:
             at = both.start[(size > w) & (mask >> np.uint32(w) & np.uint32(1)).astype(bool)] + w
             np.add.at(cover, at, 1)
             np.subtract.at(cover, at + LENGTH, 1)
-        gone = np.cumsum(cover[:-1]) > 0
+        gone = np.cumsum(cover[:-1], dtype=np.int32) > 0
         for i in np.flatnonzero(self.copy & (self.sizes >= LENGTH)):
             gone[self.ends[i] - self.sizes[i]:self.ends[i]] = True
         return gone
@@ -341,6 +341,7 @@ def _masked(rows: pa.Table) -> pa.Table:
         mask[some] = _sorted_windows(texts, begin[some], count[some], anchor[some], leads[some].astype(np.int64), ids[some])
         low = high
     answers = [zstandard.compress(mask[e - len(a):e].tobytes()) for e, a in zip(stops, anchors)]
+    release()
     return pa.table({"batch": rows.column("batch"), "share": rows.column("share"), "said": pa.array(answers, pa.binary())})
 
 
@@ -468,9 +469,6 @@ def remove_repeats(
     copies = materialize(digests.join(least, "digest").filter("own > least").groupBy("batch").agg(
         F.collect_list(F.struct("digest", "least")).alias("copies")))
 
-    none = F.lit(None).cast("array<struct<share:int,said:binary>>")
-    told = copies.select("batch", "copies", none.alias("repeated"), none.alias("masks"))
-
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in _batches(batches):
             anchors, held, bounds, _ = batch.anchors(shares, *batch.records())
@@ -486,10 +484,8 @@ def remove_repeats(
     def answer(rows: pa.Table) -> pa.Table:
         return _repeated(rows, hot)
 
-    asked = _with(table, told).mapInArrow(ask, "batch bigint, share int, hashes binary, held binary")
+    asked = _with(table, [copies]).mapInArrow(ask, "batch bigint, share int, hashes binary, held binary")
     repeated = materialize(gather(asked.groupBy("share").applyInArrow(answer, said), "repeated"))
-    told = copies.join(repeated, "batch", "full").select("batch", "copies", "repeated", none.alias("masks"))
-
     def show(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in _batches(batches):
             both, doc, _, speaks, bounds = batch.questions(shares)
@@ -505,28 +501,32 @@ def remove_repeats(
                          *[pa.array([zstandard.compress(c.tobytes())], pa.binary()) for c in columns]],
                         names=["batch", "share", "anchors", "ids", "leads", "windows", "texts"])
 
-    shown = _with(table, told).mapInArrow(
+    shown = _with(table, [copies, repeated]).mapInArrow(
         show, "batch bigint, share int, anchors binary, ids binary, leads binary, windows binary, texts binary")
     masks = materialize(gather(shown.groupBy("share").applyInArrow(_masked, said), "masks"))
-    told = copies.join(repeated, "batch", "full").join(masks, "batch", "left")
-
     def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for i in range(b.num_rows):
                 yield from _kept(Batch(b, i), b.column("rest")[i].values, shares)
+                release()
 
-    return _with(table, told, "rest").mapInArrow(
+    return _with(table, [copies, repeated, masks], "rest").mapInArrow(
         finish, f"row {kind}, n_bytes bigint, begins array<bigint>, ends array<bigint>, kept binary")
 
 
-def _with(table: DataFrame, told: DataFrame, *more: str) -> DataFrame:
-    return table.select("batch", "texts", "sizes", "ids", "digests", *more).join(told, "batch", "left")
+def _with(table: DataFrame, told: list[DataFrame], *more: str) -> DataFrame:
+    """Batches with what they have been told. Each answer is shuffled to the table's buckets, so the texts stay where they are."""
+    out = table.select("batch", "texts", "sizes", "ids", "digests", *more)
+    for answer in told:
+        out = out.join(answer, "batch", "left")
+    return out
 
 
 def _batches(batches: Iterator[pa.RecordBatch]) -> Iterator[Batch]:
     for b in batches:
         for i in range(b.num_rows):
             yield Batch(b, i)
+            release()
 
 
 def _kept(batch: Batch, rest: pa.Array, shares: int) -> Iterator[pa.RecordBatch]:
