@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tallywire.llm import (
-    bin_completion, line_dedup, ngram_quality, piece_codec, sharding, simhash, suffix_dedup,
-    token_counts, token_output, topk,
+    bin_completion, importance, line_dedup, ngram_quality, piece_codec, sharding, simhash, suffix_dedup,
+    token_counts, token_output, topk, whitening,
 )
 from tallywire.llm.common import tables
 
@@ -17,6 +17,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 TOKEN_LIMIT = 1024
 SHARDS = 8
 NEIGHBOURS = 10
+DRAWN_PERCENT = 10
 
 
 def op1_packed_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -83,8 +84,18 @@ def op10_site_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.drop_boilerplate(tables(spark, sf_dir, "documents")).select("doc_id", "text", "n_dropped")
 
 
+def op11_importance_draw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = importance.drawn(tables(spark, sf_dir, "documents"), tables(spark, sf_dir, "benchmark"), DRAWN_PERCENT)
+    return out.select(F.col("id").alias("doc_id"), "n_features", "weight", "score", "rank", "n_words")
+
+
+def op13_whitened_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(tables(spark, sf_dir, "embeddings")).withColumnRenamed("id", "vec_id")
+
+
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
     op1_packed_matrix, op2_sampled_splitters, op3_token_counts, op4_piece_codec, op5_simhash_components, op6_exact_top_k,
     op7_suffix_dedup, op8_best_fit_packing, op9_ngram_quality, op10_site_lines,
+    op11_importance_draw, op13_whitened_embeddings,
 )}
 ORACLES: dict[str, str] = {"op10_site_lines": line_dedup.ORACLE}
