@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tallywire.llm import (
     bin_completion, importance, line_dedup, ngram_quality, piece_codec, sharding, simhash, suffix_dedup,
-    token_counts, token_output, topk, whitening,
+    token_counts, token_output, topk, toxicity, whitening,
 )
 from tallywire.llm.common import tables
 
@@ -89,6 +89,15 @@ def op11_importance_draw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select(F.col("id").alias("doc_id"), "n_features", "weight", "score", "rank", "n_words")
 
 
+def op12_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = tables(spark, sf_dir, "documents")
+    held_out = lambda i: F.coalesce(F.crc32(i.cast("string").cast("binary")) % 3 == 1, F.lit(False))
+    labels = tables(spark, sf_dir, "labels").filter(~held_out(F.col("doc_id")))
+    model = toxicity.fit(docs, labels)
+    out = toxicity.scored(docs, model, {"doc_id": F.col("doc_id"), "held_out": held_out(F.col("doc_id"))})
+    return out.withColumn("predicted", (F.col("score") >= toxicity.THRESHOLD).cast("int"))
+
+
 def op13_whitened_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whiten(tables(spark, sf_dir, "embeddings")).withColumnRenamed("id", "vec_id")
 
@@ -96,6 +105,6 @@ def op13_whitened_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
     op1_packed_matrix, op2_sampled_splitters, op3_token_counts, op4_piece_codec, op5_simhash_components, op6_exact_top_k,
     op7_suffix_dedup, op8_best_fit_packing, op9_ngram_quality, op10_site_lines,
-    op11_importance_draw, op13_whitened_embeddings,
+    op11_importance_draw, op12_toxicity, op13_whitened_embeddings,
 )}
 ORACLES: dict[str, str] = {"op10_site_lines": line_dedup.ORACLE}
