@@ -72,7 +72,7 @@ class UnitEncoder:
     def learn(self, cut: list[list[str] | None]) -> dict[str, bytes]:
         """Remember the ids of all given units."""
         new = set().union(*[u for u in cut if u is not None]).difference(self._known)
-        again = new.intersection(self._older)
+        again = {u for u in new if u in self._older}  # an intersection would walk the whole memory
         self._known.update((u, self._older[u]) for u in again)
         new = list(new - again)
         for start in range(0, len(new), 4096):
