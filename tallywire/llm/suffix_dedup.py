@@ -457,9 +457,11 @@ class Suffixes:
 
 def remove_repeats(
     docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", batch_bytes: int = BATCH_BYTES, hot: int = HOT,
+    as_text: bool = False,
 ) -> DataFrame:
     """(row, n_bytes, begins, ends, kept): the removed spans of each document's bytes and the bytes left, joined.
 
+    ``as_text`` gives them as a string, without what is left of characters cut at an edge.
     ``row`` holds all columns but the text. Anchors in ``hot`` documents or more are treated window by window.
     """
     table, kind, shares = _write_batches(docs, id_column, text_column, batch_bytes)
@@ -507,11 +509,11 @@ def remove_repeats(
     def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for i in range(b.num_rows):
-                yield from _kept(Batch(b, i), b.column("rest")[i].values, shares)
+                yield from _kept(Batch(b, i), b.column("rest")[i].values, shares, as_text)
                 release()
 
     return _with(table, [copies, repeated, masks], "rest").mapInArrow(
-        finish, f"row {kind}, n_bytes bigint, begins array<bigint>, ends array<bigint>, kept binary")
+        finish, f"row {kind}, n_bytes bigint, begins array<bigint>, ends array<bigint>, kept {'string' if as_text else 'binary'}")
 
 
 def _with(table: DataFrame, told: list[DataFrame], *more: str) -> DataFrame:
@@ -529,7 +531,7 @@ def _batches(batches: Iterator[pa.RecordBatch]) -> Iterator[Batch]:
             release()
 
 
-def _kept(batch: Batch, rest: pa.Array, shares: int) -> Iterator[pa.RecordBatch]:
+def _kept(batch: Batch, rest: pa.Array, shares: int, as_text: bool) -> Iterator[pa.RecordBatch]:
     gone = batch.removed(shares)
     for low in range(0, len(batch.sizes), 2000):
         begins, ends, kept = [], [], []
@@ -537,8 +539,9 @@ def _kept(batch: Batch, rest: pa.Array, shares: int) -> Iterator[pa.RecordBatch]
             edges = np.flatnonzero(np.diff(gone[e - n:e].astype(np.int8), prepend=0, append=0))
             begins.append(edges[::2])
             ends.append(edges[1::2])
-            kept.append(batch.data[e - n:e][~gone[e - n:e]].tobytes())
+            left = batch.data[e - n:e][~gone[e - n:e]].tobytes()
+            kept.append(left.decode(errors="ignore") if as_text else left)
         yield pa.RecordBatch.from_arrays([
             rest.slice(low, len(kept)), pa.array(batch.sizes[low:low + 2000]), pa.array(begins, pa.list_(pa.int64())),
-            pa.array(ends, pa.list_(pa.int64())), pa.array(kept, pa.binary()),
+            pa.array(ends, pa.list_(pa.int64())), pa.array(kept, pa.string() if as_text else pa.binary()),
         ], names=["row", "n_bytes", "begins", "ends", "kept"])

@@ -6,11 +6,10 @@ import re
 from collections import Counter
 
 import pytest
-import xxhash
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tallywire.llm import line_dedup, ngram_quality, simhash
+from tallywire.llm import line_dedup, ngram_quality
 from tests.llm.test_dedup import plain_components, plain_fingerprint, plain_lines, plain_removal
 from tests.llm.test_search_and_rules import plain_counts
 from tests.llm.test_tokens import WORD, library_ids
@@ -43,17 +42,6 @@ def plain_quality(rows, trusted):
     return kept
 
 
-def plain_long(text, confirm):
-    words = re.findall(rb"[^\x20\x09-\x0D]+", text.encode().lower())
-    shingles = [b" ".join(words[i:i + confirm.words]) for i in range(len(words) - confirm.words + 1)] or ([b" ".join(words)] if words else [])
-    hashes, out = [xxhash.xxh64_intdigest(s, 42) for s in shingles], 0
-    for part in range(confirm.parts):
-        out |= sum((2 * sum(h >> b & 1 for h in hashes) > len(hashes)) << b for b in range(64)) << (64 * part)
-        hashes = [((h ^ h >> 30) * 0xBF58476D1CE4E5B9 + 0x9E3779B97F4A7C15) % 2**64 for h in hashes]
-        hashes = [h ^ h >> 29 for h in hashes]
-    return out
-
-
 def test_stages(spark, tmp_path):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     trusted = {r.doc_id for r in spark.read.parquet(f"{SF}/labels.parquet").filter("quality = 1").collect()}
@@ -74,16 +62,9 @@ def test_stages(spark, tmp_path):
 
     ids = sorted(r.doc_id for r in got)
     text = {r.doc_id: r.text for r in got}
-    fps, long = [plain_fingerprint(text[i]) for i in ids], [plain_long(text[i], simhash.Confirm()) for i in ids]
-    label = list(range(len(ids)))
-    for i in range(len(ids)):
-        for j in range(i):
-            if bin(fps[i] ^ fps[j]).count("1") <= corpus_pipeline.RADIUS and bin(long[i] ^ long[j]).count("1") <= simhash.Confirm().radius:
-                low, high = sorted((label[i], label[j]))
-                label = [low if x == high else x for x in label]
+    label = plain_components([plain_fingerprint(text[i]) for i in ids], 3)
     near = step("near_dedup", lines)
     assert sorted(r.doc_id for r in near.collect()) == [ids[i] for i in range(len(ids)) if label[i] == i]
-    assert plain_components(fps[:1], 3) == [0]
 
     given = [(r.doc_id, r.text) for r in near.collect()]
     passages = step("suffix_dedup", near)
@@ -116,3 +97,13 @@ def test_run_of_odd_documents(spark, tmp_path, make, odd_rows):
     docs.limit(0).write.parquet(f"{tmp_path}/none/documents.parquet")
     spark.read.parquet(f"{tmp_path}/labels.parquet").limit(0).write.parquet(f"{tmp_path}/none/labels.parquet")
     assert corpus_pipeline.run(spark, f"{tmp_path}/none").count() == 0
+
+
+def test_near_duplicates_of_odd_rows(spark, make, odd_rows):
+    """One document of each group stays; rows that share an id with other texts are documents of their own."""
+    kept = lambda docs: sorted((r.doc_id or -1, r.text or "") for r in corpus_pipeline.near_duplicates(spark, docs, "").collect())
+    assert [i for i, _ in kept(make(odd_rows))] == [-1, 1, 4, 5, 7, 8]
+    assert kept(make(odd_rows).limit(0)) == []
+    a, b = (" ".join(f"{x}{i}" for i in range(200)) for x in "ab")
+    rows = [(5, a), (5, a), (5, b), (6, a + " and"), (7, b), (None, a), (None, "words that no other document of these has")]
+    assert kept(make(rows).withColumn("name", F.lit("clash"))) == [(-1, a), (-1, "words that no other document of these has"), (5, a), (5, b)]
