@@ -8,18 +8,13 @@ Columns are found by name, others pass through, and a NULL id is an id that no o
 
 from __future__ import annotations
 
-import pandas as pd
 import public_tokenizers
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
-from pyspark.sql.functions import pandas_udf
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tallywire.llm import bin_completion, line_dedup, near_jaccard, ngram_quality, suffix_dedup
+from tallywire.llm import bin_completion, line_dedup, ngram_quality, simhash, suffix_dedup
 from tallywire.llm.queries import trusted_ids
 from tallywire.session import scratch_path
 
-#: The brute-force test of the stages asks for it; near_dedup compares shingles, not fingerprints.
-RADIUS = 10
-
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that fail the base rules or score below the threshold go."""
@@ -33,22 +28,22 @@ def line_frequency(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near-duplicates the document with the smallest id stays, once.
+    """Of each group of documents that fingerprints link the one with the smallest id stays, once.
 
-    Near means an exact Jaccard similarity of at least 0.8 over shingles of five words, of each pair that is linked.
+    Rows of one id and text are one document; rows that share an id with other texts are several. Rows without an id stay.
     """
-    first = near_jaccard.near_components(docs).select(F.col("first_id").alias("_first"), F.col("first_digest").alias("_digest")) \
-        .filter("_first IS NOT NULL").distinct()
-    digest = near_jaccard.text_digest(docs["text"])
-    own = docs.select(F.struct("*").alias("row"), docs["doc_id"].alias("_id"), digest.alias("_own"))
-    named = own.join(first, (F.col("_id") == F.col("_first")) & (F.col("_own") == F.col("_digest")), "left_semi") \
-        .dropDuplicates(["_id", "_own"]).select("row.*")  # rows of one id and text; other texts of the id stay
-    return named.unionByName(docs.filter("doc_id IS NULL"))
+    key = F.md5(F.concat_ws("\n", F.col("doc_id").cast("string"), F.coalesce("text", F.lit(""))).cast("binary"))
+    named = docs.filter("doc_id IS NOT NULL")
+    found = simhash.near_components(named.select(F.struct(F.col("doc_id").alias("id"), key.alias("key")).alias("name"), "text"), id_column="name")
+    first = found.filter(F.col("name")["key"] == F.col("component_id")["key"]).select(F.col("name")["key"].alias("_first")).distinct()
+    own = named.select(F.struct("*").alias("row"), key.alias("_key"))
+    kept = own.join(first, F.col("_key") == F.col("_first"), "left_semi").dropDuplicates(["_key"]).select("row.*")
+    return kept.unionByName(docs.filter("doc_id IS NULL"))
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Bytes that an earlier document already holds go, and what is left of characters cut at an edge."""
-    out = suffix_dedup.remove_repeats(docs).select("row", _whole_characters("kept").alias("text"))
+    out = suffix_dedup.remove_repeats(docs, as_text=True).select("row", F.col("kept").alias("text"))
     return out.select(_columns(docs, "row", F.col("text")))
 
 
@@ -57,11 +52,6 @@ def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return bin_completion.pack(pieces)
 
 
-@pandas_udf(T.StringType())
-def _whole_characters(kept: pd.Series) -> pd.Series:
-    return kept.map(lambda b: b.decode(errors="ignore"))
-
-
 def _columns(docs: DataFrame, row: str, text: Column) -> list[Column]:
     """The columns of ``docs`` from the struct ``row``, with a new text and its length."""
     new = {"text": text}
