@@ -7,7 +7,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 from pyspark.ml.classification import (
-    DecisionTreeClassifier, GBTClassifier, LogisticRegression, OneVsRest, OneVsRestModel, RandomForestClassifier,
+    DecisionTreeClassifier, LogisticRegression, RandomForestClassifier,
 )
 from pyspark.ml.feature import PCA
 from pyspark.ml.functions import array_to_vector, vector_to_array
@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tallywire import names
 from tallywire.functions.quantiles import quantile_table
-from tallywire.operators import neighbours
+from tallywire.operators import boosting, neighbours
 
 
 @dataclass(frozen=True)
@@ -95,6 +95,14 @@ class Settings:
     rows_per_partition: int = 4_000
 
 
+@dataclass(frozen=True)
+class BoostedClassifier:
+    settings: boosting.Boosting
+
+    def fit(self, table: DataFrame) -> boosting.BoostedModel:
+        return boosting.fit(table, self.settings)
+
+
 def estimator(name: str, weight_sum: float, s: Settings):
     """The Spark ML estimator of a model, or None for neighbours, which only keep their rows."""
     if name == "Logistic Regression":
@@ -108,8 +116,7 @@ def estimator(name: str, weight_sum: float, s: Settings):
             numTrees=s.forest_trees, maxDepth=s.forest_depth, weightCol="weight", seed=s.seed, maxBins=s.bins,
             maxMemoryInMB=1024)
     if name == "Gradient Boosting":
-        one = GBTClassifier(maxIter=s.gbt_rounds, maxDepth=s.gbt_depth, stepSize=s.gbt_rate, maxBins=s.bins, seed=s.seed)
-        return OneVsRest(classifier=one, weightCol="weight", parallelism=len(names.CLASSES))
+        return BoostedClassifier(boosting.Boosting(s.gbt_rounds, s.gbt_depth, s.gbt_rate, s.bins, classes=len(names.CLASSES)))
     if name == "KNN (k=5)":
         return None
     raise ValueError(f"unknown model {name!r}")
@@ -140,21 +147,13 @@ class Suite:
     def probabilities(self, name: str, df: DataFrame, key: str = "attack_id") -> DataFrame:
         """Probability per class in class order; classes the model never saw get zero.
 
-        For boosting these are the one-against-rest probabilities over their sum, for neighbours the shares of votes.
+        For neighbours these are the shares of votes.
         """
         if name == "KNN (k=5)":
             return self._vote_shares(df, key)
         model, table = self.models[name], model_table(df, self.scaler, keep=(key,))
         said = model.transform(table)
-        if isinstance(model, OneVsRestModel):
-            for i, one in enumerate(model.models):
-                single = one.copy().setProbabilityCol(f"_p{i}").setRawPredictionCol(f"_r{i}").setPredictionCol(f"_y{i}")
-                said = single.transform(said)
-            each = [F.get(vector_to_array(f"_p{i}"), F.lit(1)) for i in range(len(model.models))]
-            total = sum(each[1:], each[0])
-            p = F.array(*[e / total for e in each])
-        else:
-            p = vector_to_array("probability")
+        p = vector_to_array("probability")
         columns = [F.coalesce(F.get(p, F.lit(c)), F.lit(0.0)).alias(f"p_{c}") for c in range(len(names.CLASSES))]
         return said.select(key, F.col("label").cast("int").alias("y_true"), F.col("prediction").cast("int").alias("y_pred"), *columns)
 
