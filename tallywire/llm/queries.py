@@ -37,7 +37,7 @@ def op2_sampled_splitters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = token_counts.count_tokens(tables(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
-    return out.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
+    return out.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > TOKEN_LIMIT).alias("over_limit"), "n_chunks", "n_widened")
 
 
 def op4_piece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -77,7 +77,7 @@ def trusted_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_ngram_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = ngram_quality.judged(tables(spark, sf_dir, "documents"), trusted_ids(spark, sf_dir))
-    return out.select(F.col("row")["doc_id"].alias("doc_id"), *ngram_quality.COUNTS, "base_failed", "score", "kept")
+    return out.select(F.col("row")["doc_id"].alias("doc_id"), *ngram_quality.COUNTS, "base_failed", "kept", "score")
 
 
 def op10_site_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
