@@ -2,10 +2,10 @@
 
 Only lengths matter to the packing, and there are at most ``capacity`` of them, so the problem is
 solved on the histogram of lengths: how often each filling of a sequence is used. Best-fit decreasing gives the
-first incumbent; if it is above the lower bound, bin completion looks for a better one: around
+first incumbent; if it is above the lower bound, bin completion looks for a better one, first among the sequences with room: around
 the largest document left, undominated fillings are tried in order of waste, each as often as
 the histogram allows, and a branch ends when its waste exceeds what a better packing may have.
-The search stops after ``nodes`` branches and then keeps the incumbent, which packs everything.
+Fillings are listed lazily, so none is passed over; the search ends after ``nodes`` of them and then keeps the incumbent, which packs everything.
 
 A plan has at most a few fillings per length, whatever the size of the corpus, so it is the only
 thing that reaches the driver. Documents are matched with its places by their number among those of equal length, counted
@@ -16,7 +16,7 @@ from __future__ import annotations
 
 import zlib
 from bisect import bisect_left, insort
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -28,7 +28,8 @@ from tallywire.session import materialize
 
 CAPACITY = 4096
 NODES = 20_000
-_WIDTH = 64
+#: Best fit is tried at every node with fewer lengths, at every second one with twice as many, and so on.
+_BEST_FIT_LENGTHS = 64
 _SALT_ROWS = 200_000
 
 Filling = tuple[tuple[int, int], ...]  # (length, how many), longest first
@@ -115,29 +116,48 @@ def _places(plan: list[tuple[Filling, int]]) -> tuple[np.ndarray, np.ndarray, np
 
 
 def solve(counts: dict[int, int], capacity: int, nodes: int = NODES) -> list[tuple[Filling, int]]:
-    """Fillings and how often each is used; together they hold every document once."""
+    """Fillings and how often each is used; together they hold every document once.
+
+    Sequences that best fit leaves with most room are emptied and searched first; where that finds nothing better, twice as many
+    are emptied, up to all of them. The last search, over all documents, is exact unless the ``nodes`` end before it.
+    """
     counts = {n: c for n, c in counts.items() if c}
     best = best_fit(counts, capacity)
     bound = lower_bound(counts, capacity)
-    if sum(t for _, t in best) > bound:
-        best = _complete(counts, capacity, best, bound, nodes)
+    emptied = 0
+    while sum(t for _, t in best) > bound and nodes > 0 and emptied < len(best):
+        best.sort(key=lambda x: (-_spare(x[0], capacity), x))
+        wasteful = sum(_spare(f, capacity) > 0 for f, _ in best)
+        emptied = min(len(best), max(wasteful, 2 * emptied))
+        part, kept = best[:emptied], best[emptied:]
+        share = nodes if emptied == len(best) else nodes // 2
+        found, tried = _complete(part, capacity, bound - sum(t for _, t in kept), share)
+        nodes -= tried
+        if found is not None:
+            best, emptied = found + kept, 0
     return best
 
 
+def _spare(filling: Filling, capacity: int) -> int:
+    return capacity - sum(n * c for n, c in filling)
+
+
 def lower_bound(counts: dict[int, int], capacity: int) -> int:
     """The best of the volume bounds that set aside what cannot share a sequence with pieces of k and more."""
-    n = np.zeros(capacity + 2, np.int64)
-    for length, c in counts.items():
-        n[length] = c
-    many, volume = np.cumsum(n), np.cumsum(n * np.arange(capacity + 2))
-    half, best = capacity // 2, 0
-    for k in range(0, half + 1):
-        alone = many[capacity] - many[capacity - k]
-        wide = many[capacity - k] - many[half]
-        free = wide * capacity - (volume[capacity - k] - volume[half])
-        rest = volume[half] - (volume[k - 1] if k else 0)
-        best = max(best, int(alone + wide + max(0, -(-(rest - free) // capacity))))
-    return best
+    n = np.zeros(capacity + 1, np.int64)
+    n[list(counts)] = list(counts.values())
+    return _bound(n, capacity)
+
+
+def _bound(n: np.ndarray, capacity: int) -> int:
+    many, volume = np.cumsum(n), np.cumsum(n * np.arange(capacity + 1))
+    half = capacity // 2
+    k = np.arange(half + 1)
+    alone = many[capacity] - many[capacity - k]
+    wide = many[capacity - k] - many[half]
+    free = wide * capacity - (volume[capacity - k] - volume[half])
+    rest = volume[half] - volume[np.maximum(k - 1, 0)]
+    return int((alone + wide + np.maximum(0, -((free - rest) // capacity))).max())
 
 
 def best_fit(counts: dict[int, int], capacity: int) -> list[tuple[Filling, int]]:
@@ -178,97 +198,127 @@ def best_fit(counts: dict[int, int], capacity: int) -> list[tuple[Filling, int]]
     return [(f, t) for room in sorted(groups) for f, t in groups[room]]
 
 
-def _complete(counts: dict[int, int], capacity: int, best: list, bound: int, nodes: int) -> list[tuple[Filling, int]]:
-    total = sum(n * c for n, c in counts.items())
-    most = sum(t for _, t in best)
-    stack: list[Iterator] = []
-    left, chosen, waste = dict(counts), [], 0
-    budget = nodes
+def _complete(part: list[tuple[Filling, int]], capacity: int, bound: int, nodes: int) -> tuple[list | None, int]:
+    """A packing of the documents in ``part`` with fewer sequences, or None; and how many fillings were looked at.
+
+    Depth first: around the largest document left, undominated fillings in order of waste, each as often as it goes or once. A branch
+    ends when its waste, or the bound on what is left, allows no better packing. What is left is also packed by best fit, which may better the incumbent.
+    """
+    left = np.zeros(capacity + 1, np.int64)
+    for filling, times in part:
+        for n, c in filling:
+            left[n] += c * times
+    total, most = int(left @ np.arange(capacity + 1)), sum(t for _, t in part)
+    bound = max(bound, _bound(left, capacity))
+    best, tried, used, waste = None, 0, 0, 0
+    chosen: list[tuple[Filling, int, int]] = []
 
     def branches() -> Iterator:
-        largest = max(left)
-        for filling in _fillings(left, largest, capacity):
-            times = min(left[n] // c for n, c in filling)
-            spare = capacity - sum(n * c for n, c in filling)
+        for filling in _fillings(left.copy(), capacity, lambda: (most - 1) * capacity - total - waste):
+            if filling is None:
+                yield None
+                continue
+            times = min(int(left[n]) // c for n, c in filling)
             for t in sorted({times, 1}, reverse=True):
-                yield filling, t, spare * t
+                yield filling, t, t * _spare(filling, capacity)
 
-    if left:
-        stack.append(branches())
-    while stack and budget and most > bound:
-        step = next(stack[-1], None)
-        if step is None:
+    stack = [branches()]
+    while stack and tried < nodes and most > bound:
+        step = next(stack[-1], ())
+        if step == ():
             stack.pop()
             if chosen:
                 filling, times, spare = chosen.pop()
-                waste -= spare
+                used, waste = used - times, waste - spare
                 for n, c in filling:
-                    left[n] = left.get(n, 0) + c * times
+                    left[n] += c * times
             continue
-        budget -= 1
-        filling, times, spare = step
-        if waste + spare > (most - 1) * capacity - total:
+        tried += 1
+        if step is None or waste + step[2] > (most - 1) * capacity - total:
             continue
+        filling, times, spare = step
         chosen.append(step)
-        waste += spare
+        used, waste = used + times, waste + spare
         for n, c in filling:
             left[n] -= c * times
-            if not left[n]:
-                del left[n]
-        used = sum(t for _, t, _ in chosen)
-        rest = best_fit(left, capacity)
-        if used + sum(t for _, t in rest) < most:
-            best = [(f, t) for f, t, _ in chosen] + rest
-            most = used + sum(t for _, t in rest)
-        stack.append(branches() if left and used + lower_bound(left, capacity) < most else iter(()))
-    return best
+        lengths = np.flatnonzero(left).tolist()
+        if not lengths or tried % (1 + len(lengths) // _BEST_FIT_LENGTHS) == 0:
+            rest = best_fit({n: int(left[n]) for n in lengths}, capacity)
+            if used + sum(t for _, t in rest) < most:
+                best = [(f, t) for f, t, _ in chosen] + rest
+                most = used + sum(t for _, t in rest)
+        open_ = lengths and used + _bound(left, capacity) < most
+        stack.append(branches() if open_ else iter(()))
+    return best, tried
 
 
-def _fillings(left: dict[int, int], largest: int, capacity: int) -> list[Filling]:
-    """Undominated fillings that hold the largest document, least waste first; at most ``_WIDTH``."""
-    lengths = sorted(left, reverse=True)
-    found: list[tuple[int, list[int]]] = []
-    tried = 0
+def _fillings(left: np.ndarray, capacity: int, allowed: Callable[[], int]) -> Iterator[Filling | None]:
+    """Undominated fillings that hold the largest document, least waste first, up to the waste then allowed; None for each dominated one.
 
-    def grow(i: int, room: int, items: list[int], used: int) -> None:
-        nonlocal tried
-        tried += 1
-        if tried > 40 * _WIDTH:
+    A set of bits tells for each length which sums the shorter ones can make, so no dead end is entered and nothing is listed ahead.
+    """
+    largest = int(np.flatnonzero(left)[-1])
+    room = capacity - largest
+    left[largest] -= 1
+    lengths = np.flatnonzero(left[:room + 1])[::-1].tolist()
+    many = left[lengths].tolist()
+    all_sums = (1 << (room + 1)) - 1
+    sums = [1] * (len(lengths) + 1)  # what lengths[i:] can make
+    for i in range(len(lengths) - 1, -1, -1):
+        bits, n, more, step = sums[i + 1], lengths[i], min(many[i], room // lengths[i]), 1
+        while more and bits != all_sums:
+            step = min(step, more)
+            bits = (bits | bits << (step * n)) & all_sums
+            more, step = more - step, 2 * step
+        sums[i] = bits
+
+    def exact(i: int, wanted: int) -> Iterator[list[tuple[int, int]]]:
+        if not wanted:
+            yield []
             return
-        i = next((j for j in range(i, len(lengths)) if lengths[j] <= room), len(lengths))
-        maximal = True
         for j in range(i, len(lengths)):
+            if not sums[j] >> wanted & 1:
+                return
             n = lengths[j]
-            spare = left[n] - (n == largest) - items.count(n)
-            if n <= room and spare > 0:
-                maximal = False
-                grow(j, room - n, [*items, n], used)
-        if maximal:
-            found.append((room, items))
-
-    grow(0, capacity - largest, [], 0)
-    found.sort(key=lambda x: (x[0], len(x[1])))
-    kept: list[list[int]] = []
-    for _, items in found:
-        if len(kept) < _WIDTH and not any(_fits(items, other) for other in kept):
-            kept.append(items)
-    out = []
-    for items in kept:
-        whole = [largest, *items]
-        out.append(tuple((n, whole.count(n)) for n in sorted(set(whole), reverse=True)))
-    return out
-
-
-def _fits(items: list[int], bins: list[int]) -> bool:
-    """Whether ``items`` can be put inside the places of ``bins``; then the filling ``bins`` is at least as good."""
-    if len(items) > 8:
-        return False
-    if not items:
+            for c in range(min(many[j], wanted // n), 0, -1):
+                if sums[j + 1] >> (wanted - c * n) & 1:
+                    for rest in exact(j + 1, wanted - c * n):
+                        yield [(n, c), *rest]
+
+    available = sum(1 << n for n in lengths)
+    spare = 0
+    while spare <= min(room, allowed()):
+        if sums[0] >> (room - spare) & 1:
+            for items in exact(0, room - spare):
+                if _dominated(items, spare, available, left):
+                    yield None
+                elif items and items[0][0] == largest:
+                    yield ((largest, items[0][1] + 1), *items[1:])
+                else:
+                    yield ((largest, 1), *items)
+        spare += 1
+
+
+def _dominated(items: list[tuple[int, int]], spare: int, available: int, left: np.ndarray) -> bool:
+    """Whether some items, or none, can give way to one longer document that is left and fits, or several to one of their sum.
+
+    If a filling can be put inside the places of another, matching equal items first leaves such an exchange, so this test misses none.
+    """
+    single, several, seen = 0, 0, 1  # sums of one item, of two and more, of any number
+    for n, c in items:
+        if left[n] == c:
+            available &= ~(1 << n)
+        single |= 1 << n
+        for _ in range(c):
+            several |= (seen & ~1) << n
+            seen |= seen << n
+    if several & available:
         return True
-    tried = set()
-    for i, room in enumerate(bins):
-        if room >= items[0] and room not in tried:
-            tried.add(room)
-            if _fits(items[1:], [*bins[:i], room - items[0], *bins[i + 1:]]):
-                return True
-    return False
+    reach, width = (1 | single | several) << 1, 1  # from one more than each sum to ``spare`` more
+    if not spare:
+        return False
+    while width < spare:
+        step = min(width, spare - width)
+        reach |= reach << step
+        width += step
+    return bool(reach & available)

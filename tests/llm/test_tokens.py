@@ -2,7 +2,9 @@
 
 import hashlib
 import random
+import time
 import zlib
+from itertools import combinations
 
 import numpy as np
 import public_tokenizers
@@ -184,6 +186,53 @@ def test_bin_completion_beats_best_fit():
     assert sum(t for _, t in bin_completion.solve(counts, 60)) == 3
 
 
+def test_search_is_bounded_on_a_corpus_of_lengths():
+    """About 250,000 documents whose best fit misses the bound; the search closes the gap on sequences with room."""
+    draw = random.Random(7)
+    counts = {}
+    for _ in range(9_000):
+        length = min(4096, int(draw.lognormvariate(6.6, 1.0)) + 1)
+        counts[length] = counts.get(length, 0) + 28
+    first, bound = sum(t for _, t in bin_completion.best_fit(counts, 4096)), bin_completion.lower_bound(counts, 4096)
+    assert first > bound
+    began = time.process_time()
+    plan = bin_completion.solve(counts, 4096)
+    assert time.process_time() - began < 30
+    packed = {}
+    for filling, times in plan:
+        assert sum(n * c for n, c in filling) <= 4096
+        for n, c in filling:
+            packed[n] = packed.get(n, 0) + c * times
+    assert packed == counts
+    assert bound <= sum(t for _, t in plan) < first
+
+
+def _inside(items, places):
+    """Whether ``items`` can be put into ``places``."""
+    if not items:
+        return True
+    return any(items[0] <= room and _inside(items[1:], [*places[:i], room - items[0], *places[i + 1:]]) for i, room in enumerate(places))
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.integers(1, 14), min_size=1, max_size=8))
+def test_fillings_are_the_undominated_ones(lengths):
+    """Against all sets with the largest length: each one left out has its like or better among those listed, and none listed is beaten."""
+    left = np.bincount(lengths, minlength=15)
+    listed = [f for f in bin_completion._fillings(left.copy(), 14, lambda: 14) if f is not None]
+    listed = [sorted(n for n, c in f for _ in range(c)) for f in listed]
+    rest = sorted(lengths)
+    largest = rest.pop()
+    others = [sorted(x) for k in range(len(rest) + 1) for x in combinations(rest, k) if sum(x) <= 14 - largest]
+    bare = []
+    for f in listed:
+        f.remove(largest)
+        bare.append(f)
+    assert all(any(_inside(o[::-1], f) for f in bare) for o in others)
+    assert all(not _inside(f[::-1], o) for f in bare for o in others if o != f)
+    assert len({tuple(f) for f in bare}) == len(bare)
+
+
 def test_packing_of_odd_rows(make, odd_rows):
     docs = make(odd_rows + [(100 + i, "tie") for i in range(50)])
     pieces = bin_completion.token_pieces(docs, WORD, 1, capacity=64)
