@@ -2,7 +2,7 @@
 
 A pre-tokenizer cuts a text into units that the merges never cross, so a unit has the
 same ids wherever it stands. Units are found here by a pattern and each new one is given to the
-library once; texts are then put together from remembered units. The pattern is
+library's model once; texts are then put together from remembered units. The pattern is
 used only on texts over an alphabet where it provably equals the library's own (white space,
 ASCII and the letters of Latin-1); any other text goes to the library whole.
 """
@@ -46,6 +46,7 @@ class UnitEncoder:
         self.library = Tokenizer.from_file(path)
         self.library.no_truncation()
         self.library.no_padding()
+        self._model = self.library.model
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         self._special = [t["content"] for t in spec["added_tokens"]]
@@ -74,11 +75,9 @@ class UnitEncoder:
         new = set().union(*[u for u in cut if u is not None]).difference(self._known)
         again = {u for u in new if u in self._older}  # an intersection would walk the whole memory
         self._known.update((u, self._older[u]) for u in again)
-        new = list(new - again)
-        for start in range(0, len(new), 4096):
-            part = new[start:start + 4096]
-            for unit, e in zip(part, self.library.encode_batch_fast(part, add_special_tokens=False)):
-                self._known[unit] = pack(e.ids)
+        merge = self._model.tokenize  # a unit is what the library's own steps hand to its model, after the byte alphabet
+        for unit in new - again:
+            self._known[unit] = pack([t.id for t in merge(unit.translate(_BYTES))])
         return self._known
 
     def encode(self, texts: list[str]) -> list[bytes]:
@@ -95,6 +94,19 @@ class UnitEncoder:
 _CONTROL = re.compile("[^\t\n\r -~]")
 
 
+def _byte_alphabet() -> dict[int, str]:
+    """Characters up to U+00FF as the visible characters that byte-level models use for their UTF-8 bytes.
+
+    Visible Latin-1 characters stand for their own byte; the other bytes have U+0100 and following, in order.
+    """
+    hidden = [b for b in range(256) if not (0x21 <= b <= 0x7E or 0xA1 <= b <= 0xFF and b != 0xAD)]
+    sign = {b: chr(0x100 + hidden.index(b)) if b in hidden else chr(b) for b in range(256)}
+    return {c: "".join(sign[b] for b in chr(c).encode()) for c in range(256)}
+
+
+_BYTES = _byte_alphabet()
+
+
 def _pattern_of(spec: dict) -> tuple[re.Pattern | None, bool]:
     """The fast pattern for the two kinds of pre-tokenizer it is proven for."""
     model, pre, norm = spec["model"], spec.get("pre_tokenizer") or {}, spec.get("normalizer") or {}
