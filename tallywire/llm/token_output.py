@@ -78,6 +78,7 @@ def packed_matrix(
 
     ids and position_ids are ``length`` little-endian unsigned 16-bit numbers, padded with the end id and position 0
     behind n_tokens; segment j is ids[cu_seqlens[j]:cu_seqlens[j + 1]], the tokens of doc_ids[j] from doc_starts[j] on.
+    An id beyond 16 bits is an error.
     """
     rows = docs.select(F.col(id_column).cast("bigint").alias("id"), F.col(text_column).alias("text"))
     end = np.array([end_id], "<u4").tobytes()
@@ -88,7 +89,10 @@ def packed_matrix(
         for part in slices(batches, "text"):
             enc = encoder(tokenizer)
             for doc, ids in zip(part.column("id").to_pylist(), enc.encode(strings(part, "text"))):
-                ids = np.frombuffer(ids + end, "<u4").astype("<u2")
+                ids = np.frombuffer(ids + end, "<u4")
+                if ids.max() > 0xFFFF:
+                    raise ValueError("an id does not fit into 16 bits")
+                ids = ids.astype("<u2")
                 waiting += [(doc, at, ids[at:at + length]) for at in range(0, len(ids), length)]
                 tokens += len(ids)
             if tokens >= buffer_tokens:

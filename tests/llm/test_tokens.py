@@ -128,6 +128,8 @@ def test_matrix_round_trip(make, odd_rows):
         got = [x for s, p in parts[::copies] for x in p]
         assert got == want
     assert token_output.packed_matrix(make(odd_rows).limit(0), BYTE, 50256).count() == 0
+    with pytest.raises(Exception, match="16 bits"):
+        token_output.packed_matrix(make(odd_rows), BYTE, 70_000).collect()
 
 
 @settings(max_examples=60, deadline=None)
