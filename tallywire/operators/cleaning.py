@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from tallywire import names
 from tallywire.functions.expressions import capped, duration_seconds, flag, token_flags
 from tallywire.functions.quantiles import quantile_table
+from tallywire.functions.sketches import quantile_sketches, sketched_quantiles
 
 
 @dataclass(frozen=True)
@@ -45,6 +46,34 @@ def fit_thresholds(
     return Thresholds(event_caps, component_caps, event_median, component_median, q)
 
 
+def threshold_sketches(df: DataFrame, kind: str, by: list[str]) -> DataFrame:
+    """What the thresholds need to know of ``df`` ("events" or "components"), per file, set or day: one sketch for each column.
+
+    Rows are small whatever they stand for; keep them, and ``thresholds_from_sketches`` refits without the old data.
+    """
+    columns = names.EVENT_CAP_COLUMNS if kind == "events" else names.COMPONENT_CAP_COLUMNS
+    length = F.col("avg_packet_len")
+    wanted = {c: F.col(c) for c in columns if c in df.columns}
+    return quantile_sketches(df, by, {**wanted, "_median": F.when(length > 0, length)})
+
+
+def thresholds_from_sketches(
+    events: DataFrame | None = None, components: DataFrame | None = None, q: float = names.CAP_QUANTILE
+) -> Thresholds:
+    """Thresholds from kept sketches, within half a percent in rank; ``fit_thresholds`` is exact and reads all rows."""
+    def near(kept: DataFrame | None, columns: list[str]) -> tuple[dict[str, float], float]:
+        if kept is None:
+            return {}, 0.0
+        wanted = {c: q for c in columns if c in kept.columns}
+        found = {r["name"]: r["value"] for r in sketched_quantiles(kept, {**wanted, "_median": 0.5}).collect()}  # a row a column
+        median = found.pop("_median", 0.0)
+        return found, median
+
+    (event_caps, event_median), (component_caps, component_median) = (
+        near(events, names.EVENT_CAP_COLUMNS), near(components, names.COMPONENT_CAP_COLUMNS))
+    return Thresholds(event_caps, component_caps, event_median, component_median, q)
+
+
 def zero_length_filled(length: Column, median: float) -> Column:
     """Zero lengths take the whole part of the fitted median."""
     return F.when(length == 0, F.lit(int(median))).otherwise(length)
