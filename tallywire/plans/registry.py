@@ -74,4 +74,4 @@ def _load() -> None:
         importlib.import_module(f"tallywire.plans.{module}")
 
 
-MODULES = ["features_q", "cleaning_q", "explore_q", "metrics_q", "stream_q", "learn_q"]
+MODULES = ["features_q", "cleaning_q", "explore_q", "metrics_q", "stream_q", "learn_q", "live_q", "curves_q"]
