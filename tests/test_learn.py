@@ -68,6 +68,13 @@ def test_same_rows_give_the_same_forest(rows):
     assert said[0] == said[1]
 
 
+def test_training_rows_keep_to_a_number_of_partitions(rows):
+    df = rows[0]
+    parts = lambda n, key: learn._spread(df, n, 4_000, key).rdd.getNumPartitions()
+    assert [parts(n, "attack_id") for n in (600, 75_000, 4_500_000)] == [1, 19, learn.MOST_PARTITIONS]
+    assert parts(4_500_000, None) == learn.MOST_PARTITIONS
+
+
 def test_store_checks_version(spark, rows, tmp_path):
     df = rows[0]
     path = str(tmp_path / "models")
