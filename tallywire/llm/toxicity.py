@@ -8,16 +8,16 @@ left out or set apart by dots still shares most of its subsequences.
 *Landmarks.* Words of the training texts, taken by how unevenly the labels share them, as long as no chosen one is too
 alike. The Nystrom map of a sentence is W**-1/2 k(sentence, landmarks), W being the landmarks' own kernel matrix.
 
-*Sentences.* A sentence is shown by one window of ``WINDOW`` characters: the one that covers most of the landmarks that lean to
-the toxic side. The ``SHOWN`` sentences that cover most stand for their document; covering is a sum of one weight per
-subsequence, so all sentences are compared by looking up the subsequences that start at each character.
+*Sentences.* A sentence has a window of ``WINDOW`` characters at each of its characters, and the best one speaks for it. A window's value is
+a sum of one weight per subsequence, so all windows of all sentences are compared by looking up the subsequences that start at each character.
 
-*Training.* Labels are of documents, the machine learns on sentences: all shown ones of clean documents, and of toxic ones the
-best by the machine before it, for ``ROUNDS`` linear SVMs on the map. A logistic fit on a document's three best margins and its length makes
-probabilities.
+*Training.* Labels are of documents, the machine learns on windows, in ``ROUNDS`` linear SVMs on the map. Each round searches every window of the
+sample anew and takes the best windows of the ``SHOWN`` best sentences of a document: at first by how much they cover of the landmarks that lean to
+the toxic side, then by the margin of the machine before. The next machine learns on all windows so taken from clean documents, of this round and the
+ones before, and on the best of toxic ones in this round. A logistic fit on a document's three best margins and its length makes probabilities.
 
-*Scoring.* The margin is linear in the map, so it folds into one weight per subsequence as well. Texts are scored whole in one
-pass without a shuffle.
+*Scoring.* The margin is linear in the map, so it folds into one weight per subsequence as well. Every window of every sentence is scored. Texts
+are scored whole in one pass without a shuffle.
 
 The fit takes at most ``SAMPLE`` labelled rows of each label, those with the smallest hash of the id; all documents are
 scored. NULL and empty texts have no sentence: their margins are the lowest that count, -1. Labels that are NULL or whose id is
@@ -234,19 +234,17 @@ def _best(sums: np.ndarray, rows: np.ndarray, most: np.ndarray) -> np.ndarray:
     return order[place < most[owner]]
 
 
-def shown(texts: list[str], cover: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(row, places of the window's characters) of the sentences that stand for each text, and the padded classes."""
-    sums, rows, begins, stream = sentence_sums(texts, cover)
+def shown(texts: list[str], weights: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, places of the window's characters) of the sentences the fit takes from each text, and the padded classes."""
+    sums, rows, begins, stream = sentence_sums(texts, weights)
     chosen = _best(sums, rows, np.full(len(texts), SHOWN))
     return rows[chosen], begins[chosen][:, None] + np.arange(WINDOW), stream
 
 
-def margins(texts: list[str], cover: np.ndarray, weights: np.ndarray, bias: float) -> np.ndarray:
-    """(the three best margins, logarithm of the length) of every text."""
-    rows, places, stream = shown(texts, cover)
-    value = np.full(len(rows), bias)
-    for code, weight in occurrences(stream):
-        value += weight * np.where(places < len(code), weights[code[np.minimum(places, len(code) - 1)]], 0).sum(axis=1)
+def margins(texts: list[str], weights: np.ndarray, bias: float) -> np.ndarray:
+    """(the three best margins over the sentences, logarithm of the length) of every text; a sentence has that of its best window."""
+    sums, rows, _, _ = sentence_sums(texts, weights)
+    value = sums + bias
     order = np.lexsort([-value, rows])
     owner = rows[order]
     rank = np.arange(len(order)) - np.searchsorted(owner, owner)
@@ -279,15 +277,16 @@ def ranked_words(sample: DataFrame) -> list[tuple[str, int]]:
     return out
 
 
-def _sentences(sample: DataFrame, marks: Landmarks) -> DataFrame:
-    """(label, z: the Nystrom maps, cover) of the sentences that stand for each sample document, a row per document."""
+def _sentences(sample: DataFrame, marks: Landmarks, machine: np.ndarray | None) -> DataFrame:
+    """(label, z: the Nystrom maps, cover) of the best sentences of each sample document by the machine, or by what they cover; a row per document."""
     width = len(marks.words)
+    by = marks.cover() if machine is None else marks.weights(machine)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cover, column = table(marks.codes, marks.cover()), np.full(CLASSES ** LENGTH, -1, np.int32)
+        order, column = table(marks.codes, by), np.full(CLASSES ** LENGTH, -1, np.int32)
         column[marks.codes] = np.arange(len(marks.codes))
         for part in slices(batches, "text", _SLICE):
-            rows, windows, stream = shown(strings(part, "text"), cover)
+            rows, windows, stream = shown(strings(part, "text"), order)
             near = np.zeros((len(rows), width))
             for some in np.array_split(np.arange(len(rows)), max(1, len(rows) // 256)):
                 own, found = windows[some], np.zeros((len(some), len(marks.codes)))
@@ -325,16 +324,18 @@ def _picked(seen: DataFrame, machine: tuple[np.ndarray, float] | None) -> DataFr
                     maps = maps[order[:positive]]
                 labels += [label] * len(maps)
                 kept += list(maps)
-            yield pa.RecordBatch.from_arrays([pa.array(labels, pa.float64()), pa.array(kept, pa.list_(pa.float64()))], names=["label", "features"])
+            yield pa.RecordBatch.from_arrays([pa.array(labels, pa.float64()), pa.array(kept, pa.list_(pa.float32()))], names=["label", "features"])
 
-    return seen.mapInArrow(run, "label double, features array<double>").select("label", array_to_vector("features").alias("features"))
+    return seen.mapInArrow(run, "label double, features array<float>")
 
 
-def _machine(seen: DataFrame, marks: Landmarks) -> tuple[np.ndarray, float]:
-    """(weights of the subsequences, bias): SVMs on the shown sentences, each choosing the next one's toxic sentences."""
-    machine = None
+def _machine(sample: DataFrame, seen: DataFrame, marks: Landmarks) -> tuple[np.ndarray, float]:
+    """(weights of the subsequences, bias): SVMs, each of which chooses the next one's windows from the whole sample."""
+    machine = clean = None
     for _ in range(ROUNDS):
-        picked = _picked(seen, machine)
+        best = materialize(_picked(seen if machine is None else _sentences(sample, marks, machine[0]), machine))
+        clean = best.filter("label = 0") if clean is None else clean.unionByName(best.filter("label = 0"))
+        picked = clean.unionByName(best.filter("label = 1")).select("label", array_to_vector(F.col("features").cast("array<double>")).alias("features"))
         share = {r["label"]: r["count"] for r in picked.groupBy("label").count().collect()}  # two rows
         even = F.when(F.col("label") == 1, sum(share.values()) / (2 * share[1.0])).otherwise(sum(share.values()) / (2 * share[0.0]))
         svm = LinearSVC(maxIter=30, regParam=1e-3, standardization=False, weightCol="weight").fit(picked.withColumn("weight", even))
@@ -345,26 +346,25 @@ def _machine(seen: DataFrame, marks: Landmarks) -> tuple[np.ndarray, float]:
 @dataclass(frozen=True)
 class Model:
     codes: np.ndarray
-    cover: np.ndarray       # per code: what a window covers
     weights: np.ndarray     # per code: the machine
     bias: float
     slope: np.ndarray       # of the margins
     intercept: float
 
     def scorer(self) -> Callable[[list[str]], np.ndarray]:
-        cover, weights = table(self.codes, self.cover), table(self.codes, self.weights)
+        weights = table(self.codes, self.weights)
 
         def scores(texts: list[str]) -> np.ndarray:
-            z = margins(texts, cover, weights, self.bias) @ self.slope + self.intercept
+            z = margins(texts, weights, self.bias) @ self.slope + self.intercept
             return 1 / (1 + np.exp(-np.clip(z, -500, 500)))
         return scores
 
 
 def _margin_rows(sample: DataFrame, marks: Landmarks, weights: np.ndarray, bias: float) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cover, dense = table(marks.codes, marks.cover()), table(marks.codes, weights)
+        dense = table(marks.codes, weights)
         for part in slices(batches, "text", _SLICE):
-            found = margins(strings(part, "text"), cover, dense, bias)
+            found = margins(strings(part, "text"), dense, bias)
             yield pa.RecordBatch.from_arrays(
                 [part.column("toxic").cast(pa.float64()), pa.array(list(found), pa.list_(pa.float64()))], names=["label", "features"])
 
@@ -394,13 +394,13 @@ def fit(
     marks = Landmarks.choose(ranked_words(rows), landmarks)
     if not marks.words:
         return counts[1] / sum(counts.values())
-    seen = materialize(_sentences(rows, marks))
+    seen = materialize(_sentences(rows, marks, None))
     if seen.filter(F.size("cover") > 0).select("label").distinct().count() < 2:
         return counts[1] / sum(counts.values())
-    weights, bias = _machine(seen, marks)
+    weights, bias = _machine(rows, seen, marks)
     given = materialize(_margin_rows(rows, marks, weights, bias))
     curve = LogisticRegression(maxIter=25, regParam=1e-4).fit(given.select("label", array_to_vector("features").alias("features")))
-    return Model(marks.codes, marks.cover(), weights, bias, np.array(curve.coefficients), float(curve.intercept))
+    return Model(marks.codes, weights, bias, np.array(curve.coefficients), float(curve.intercept))
 
 
 def scored(docs: DataFrame, model: Model | float, columns: dict[str, Column], text_column: str = "text") -> DataFrame:

@@ -53,6 +53,15 @@ def test_windows_do_not_cross_texts():
     assert sums[0] == sums[1] == 0 and sums[2] > 0
 
 
+def test_every_window_of_every_sentence_is_scored():
+    own, other = toxicity.subsequences("trash"), toxicity.subsequences("zugolem")
+    weights = toxicity.table(np.array([*own, *other]), np.concatenate([np.ones(len(own)), -np.ones(len(other))]))
+    decoys, rest = "zugolem zugolem. " * 12, " " * toxicity.WINDOW
+    texts = ["trash", decoys + "trash", "trash." + rest + decoys, decoys + "zugolem" + rest + "trash" + rest + "zugolem. " + decoys, decoys]
+    found = toxicity.margins(texts, weights, -0.5)
+    assert found[0, 0] > 0 and np.allclose(found[:4, 0], found[0, 0]) and found[4, 0] <= -0.5
+
+
 def test_nystrom_map_reproduces_the_landmarks():
     marks = toxicity.Landmarks.choose([("idiot", 1), ("idiots", 1), ("moron", 1), ("garden", 0), ("ab", 0)])
     assert marks.words[0] == "idiot" and "ab" not in marks.words
