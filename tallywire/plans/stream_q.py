@@ -166,7 +166,7 @@ def readings(spark, sf_dir):
         F.floor("value").alias("p"), F.floor(F.col("value") * 64).alias("b"))
     order = [F.asc("t"), F.asc("reading_id")]
     numbered = ordered(raw, ["interface"], order, "rn").withColumn("seg", F.floor((F.col("rn") - 1) / 100)).drop("rn")
-    grown = ordered(numbered, ["interface", "seg"], order, "rn", {"packets": F.col("p"), "bytes": F.col("b")})
+    grown = ordered(numbered, ["interface", "seg"], order, "rn", {"packets": F.col("p"), "bytes": F.col("b")}, at_most=100)
     return grown.select("interface", "reading_id", "t", "packets", "bytes")
 
 

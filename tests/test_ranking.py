@@ -81,3 +81,11 @@ def test_samples_cover_every_key(spark):
     mixed = spark.createDataFrame([(i, None if i < 10 else "a") for i in range(100)], "id bigint, type string")
     assert stratified_sample(mixed, "id", 100).count() == 100
     assert stratified_sample(mixed, "id", 50).filter("type IS NULL").count() == 5
+
+
+def test_many_bounded_groups_take_one_plain_window(rows):
+    df, _ = rows
+    plan = ordered(df, ["g"], [F.asc("id")], limit=300)._jdf.queryExecution().toString()
+    assert "_local" not in plan and "prev_x" in with_previous(df, ["g"], [F.asc("id")], ["x"], 300).columns
+    assert "Join" not in with_previous(df, ["g"], [F.asc("id")], ["x"], 300)._jdf.queryExecution().toString()
+    assert "_local" in ordered(df, ["g"], [F.asc("id")], limit=100)._jdf.queryExecution().toString()
