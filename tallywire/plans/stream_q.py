@@ -7,6 +7,7 @@ from tallywire.functions.ranking import ordered
 from tallywire.plans.features_q import rounded
 from tallywire.plans.registry import query, share
 from tallywire.plans.tables import stream
+from tallywire.session import materialize
 from tallywire.streaming import capture, windows
 
 HOUR = 3600.0
@@ -247,7 +248,8 @@ def _capture(spark, sf_dir):
     rates = capture.counter_rates(readings(spark, sf_dir)).withColumn("offset_s", (micros("t") - start) / 1e6)
     spans = cut.select("window_id", F.col("win_start_s").alias("start_offset_s"),
                        (F.col("win_end_s") - F.col("win_start_s")).alias("duration_s"))
-    samples = capture.in_phase(rates, spans).select("window_id", "reading_id", "t", "pps", "avg_pkt_len", "interface")
+    # Read twice or more, so that rates and phases are worked out once.
+    samples = materialize(capture.in_phase(rates, spans).select("window_id", "reading_id", "t", "pps", "avg_pkt_len", "interface"))
     sources = samples.groupBy("window_id").agg(F.countDistinct("interface").alias("n_sources"))
     return cut, samples, sources
 

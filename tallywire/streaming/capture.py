@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 
 from tallywire.functions.expressions import micros
+from tallywire.functions.quantiles import bounded_broadcast
 from tallywire.functions.ranking import ordered, with_previous
 from tallywire.session import materialize
 
@@ -54,7 +55,7 @@ def in_phase(samples: DataFrame, phases: DataFrame, at: str = "offset_s", bucket
     spread = cut.withColumn("_bucket", F.explode(F.sequence(first, last)))
     placed = samples.withColumn("_bucket", F.floor(F.col(at) / bucket_s))
     inside = (F.col(at) >= F.col("start_offset_s")) & (F.col(at) < F.col("end_offset_s"))
-    return placed.join(spread, "_bucket").filter(inside).drop("_bucket")
+    return placed.join(bounded_broadcast(spread), "_bucket").filter(inside).drop("_bucket")
 
 
 def phase_windows(phases: DataFrame, window_s: float, sample_s: float) -> DataFrame:

@@ -78,6 +78,7 @@ def test_phases(spark):
     samples = spark.createDataFrame([(float(s),) for s in (0, 11.9, 12, 21.9, 22, 29, 30, 40.9, 41)], "offset_s double")
     got = {r["offset_s"]: r["type"] for r in capture.in_phase(samples, phases, bucket_s=7.0).collect()}
     assert got == {0: "a", 11.9: "a", 12: "b", 21.9: "b", 30: "c", 40.9: "c"}
+    assert "strategy=broadcast" in capture.in_phase(samples, phases)._jdf.queryExecution().logical().toString()    # samples stay where they are
     cut = capture.phase_windows(phases.filter("type = 'c'"), 5.0, 1.0).orderBy("win_start_s").collect()
     assert [(r["win_start_s"], r["win_end_s"]) for r in cut] == [(30, 35), (35, 40)]    # the last second is too short
 
