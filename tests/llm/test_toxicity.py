@@ -105,6 +105,20 @@ def test_learns_from_labels(spark, make, odd_rows):
     assert said[0] > 0.7 > said[1] and said[2] > 0.7
 
 
+def test_a_fit_has_few_tasks_however_its_rows_are_dealt(spark, make, odd_rows, monkeypatch):
+    parts, deal = [], type(spark.range(0)).repartition
+    monkeypatch.setattr(type(spark.range(0)), "repartition", lambda self, n, *by: deal(self, max(n, 9) if by else n, *by))
+    for kind in ("LinearSVC", "LogisticRegression"):
+        class Counted(getattr(toxicity, kind)):
+            def fit(self, rows):
+                parts.append(rows.rdd.getNumPartitions())
+                return super().fit(rows)
+        monkeypatch.setattr(toxicity, kind, Counted)
+    docs, given, _ = labelled(make, spark, odd_rows)
+    assert isinstance(toxicity.fit(docs, given), toxicity.Model)
+    assert len(parts) == toxicity.ROUNDS + 1 and max(parts) <= toxicity._SAMPLE_PARTS
+
+
 def test_without_labels(spark, make, odd_rows):
     docs, given, _ = labelled(make, spark, odd_rows)
     for some, share in ((given.limit(0), 0.0), (given.filter("toxic = 1 AND doc_id < 1000"), 1.0), (given.filter("toxic = 0"), 0.0)):
