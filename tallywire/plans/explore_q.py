@@ -7,6 +7,7 @@ from tallywire.operators import explore
 from tallywire.plans.features_q import rounded
 from tallywire.plans.registry import query, share
 from tallywire.plans.tables import components, events, stream
+from tallywire.session import materialize
 
 _CLASS_ROWS = "(VALUES (0, 'Normal traffic'), (1, 'Suspicious traffic'), (2, 'DDoS attack')) t(ordinal, type)"
 _FOUR = ["avg_packet_len", "avg_source_ip_count", "detect_count", "packet_speed"]
@@ -135,9 +136,10 @@ def agg_hist_log(spark, sf_dir):
  for c in _P))
 def agg_log_if_skewed(spark, sf_dir):
     ev = events(spark, sf_dir)
-    shown = explore.log_where_skewed(ev, _P).agg(*[F.avg(c).alias(c) for c in _P])
+    switch = materialize(explore.skew_switch(ev, _P))
+    shown = explore.log_where_skewed(ev, _P, switch).agg(*[F.avg(c).alias(c) for c in _P])
     shown = shown.select(F.explode(F.create_map(*[v for c in _P for v in (F.lit(c), F.round(c, 4))])).alias("name", "shown_mean"))
-    return explore.skew_switch(ev, _P).join(shown, "name")
+    return switch.join(shown, "name")
 
 
 @query("agg_duration_dist", """WITH d AS (SELECT type, log10(greatest((epoch_us(end_time) - epoch_us(start_time)) / 1e6, 0.1)) AS v

@@ -5,7 +5,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from tallywire.operators import learn
+from tallywire.operators import explore, learn
 from tallywire.operators.features import event_features
 from tallywire.plans import experiments
 from tallywire.plans.registry import all_queries
@@ -34,6 +34,16 @@ def test_no_nested_loops(spark, name):
     assert "NestedLoop" not in plan and "CartesianProduct" not in plan
 
 
+def test_the_skew_switch_is_worked_out_once(spark, tmp_path, monkeypatch):
+    spark.range(200).selectExpr(
+        "id AS o_orderkey", "id AS o_custkey", "'O' AS o_orderstatus", "CAST(id * id * id AS DOUBLE) AS o_totalprice",
+        "TIMESTAMP_NTZ '2024-01-01 00:00:00' AS o_orderdate", "'1' AS o_orderpriority").write.parquet(str(tmp_path / "orders.parquet"))
+    calls, table = [], explore.quantile_table
+    monkeypatch.setattr(explore, "quantile_table", lambda *a: calls.append(1) or table(*a))
+    found = {r["name"]: r["use_log"] for r in all_queries()["agg_log_if_skewed"](spark, str(tmp_path)).collect()}
+    assert len(calls) == 1 and len(found) == 5 and not found["packet_speed"] and not found["avg_packet_len"]
+
+
 def test_top_n_is_cut_before_the_shuffle(spark):
     assert "WindowGroupLimit" in _plan(all_queries()["agg_top_n_per_class"](spark, SF))
     assert "TakeOrderedAndProject" in _plan(all_queries()["win_sample_n"](spark, SF))
