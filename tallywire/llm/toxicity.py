@@ -55,8 +55,8 @@ SENTENCE = 200
 SHOWN = 6
 THRESHOLD = 0.7
 _CANDIDATES = 4_000
-#: The sample is bounded, and every step of a fit is a job over its partitions. A fit coalesces to this many whatever it is given:
-#: rounds are unions, and with more parts each step also writes a shuffle file per task.
+#: The sample is bounded, and every step of a fit is a job over its partitions, in a union of one more round each time. The sample is
+#: coalesced to this many however it is dealt, as each step also writes a shuffle file per task.
 _SAMPLE_PARTS = 4
 _SLICE = 1 << 19
 #: The part of a sentence that speaks for it: an insult of ten letters with a character between each two fits.
@@ -336,7 +336,7 @@ def _machine(sample: DataFrame, seen: DataFrame, marks: Landmarks) -> tuple[np.n
     for _ in range(ROUNDS):
         best = materialize(_picked(seen if machine is None else _sentences(sample, marks, machine[0]), machine))
         clean = best.filter("label = 0") if clean is None else clean.unionByName(best.filter("label = 0"))
-        picked = clean.unionByName(best.filter("label = 1")).select("label", array_to_vector(F.col("features").cast("array<double>")).alias("features")).coalesce(_SAMPLE_PARTS)
+        picked = clean.unionByName(best.filter("label = 1")).select("label", array_to_vector(F.col("features").cast("array<double>")).alias("features"))
         share = {r["label"]: r["count"] for r in picked.groupBy("label").count().collect()}  # two rows
         even = F.when(F.col("label") == 1, sum(share.values()) / (2 * share[1.0])).otherwise(sum(share.values()) / (2 * share[0.0]))
         svm = LinearSVC(maxIter=30, regParam=1e-3, standardization=False, weightCol="weight").fit(picked.withColumn("weight", even))
