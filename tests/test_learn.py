@@ -134,3 +134,30 @@ def test_projection(rows):
     assert p.explained == pytest.approx(sorted(np.linalg.eigvalsh(np.cov(z.T)) / np.trace(np.cov(z.T)), reverse=True))
     got = np.array([(r["pc1"], r["pc2"]) for r in p.transform(df).orderBy("attack_id").collect()])
     assert np.abs(got) == pytest.approx(np.abs(z @ p.axes))
+
+
+def test_learners_side_by_side_fit_the_same_models(rows, monkeypatch):
+    """Together they share one table; each gives the model that it gives alone."""
+    df, x, _ = rows
+    spread, tables = learn._spread, []
+    monkeypatch.setattr(learn, "_spread", lambda *a: tables.append(1) or spread(*a))
+    one, many = (learn.fit_suite(df, COLUMNS, settings=FAST, side_by_side=b) for b in (False, True))
+    assert len(tables) == 2 and list(many.models) == names.MODELS and set(many.fit_seconds) == set(names.MODELS)
+    for name in ("Random Forest", "Gradient Boosting"):
+        assert (one.models[name].probabilities(x) == many.models[name].probabilities(x)).all()
+    assert one.models["Decision Tree"].toDebugString.split("\n")[1:] == many.models["Decision Tree"].toDebugString.split("\n")[1:]
+    lr = [s.models["Logistic Regression"].coefficientMatrix.toArray() for s in (one, many)]
+    assert lr[0] == pytest.approx(lr[1], abs=1e-9)
+
+
+def test_a_query_fits_its_models_on_one_table(spark, rows, monkeypatch):
+    from tallywire.plans import learn_q
+    df, calls, fit = rows[0], [], learn.fit_suite
+    monkeypatch.setattr(learn_q, "AB", COLUMNS)
+    monkeypatch.setattr(learn_q, "stored_features", lambda *a: df.withColumn("split", F.lit("train")))
+    monkeypatch.setattr(learn, "fit_suite", lambda *a, **k: calls.append(k["models"]) or fit(*a, **k))
+    wanted = ["Decision Tree", "KNN (k=5)"]
+    first = learn_q.fitted_models(spark, "one table", wanted, settings=FAST)
+    again = learn_q.fitted_models(spark, "one table", [*wanted, "Logistic Regression"], settings=FAST)
+    assert calls == [wanted, ["Logistic Regression"]] and all(again[n] is first[n] for n in wanted)
+    assert all(list(s.models) == [n] for n, s in again.items())
