@@ -43,12 +43,17 @@ class Mixture:
         return np.log(self.weights) - 0.5 * (constant + square)
 
     def memberships(self, x: np.ndarray) -> np.ndarray:
-        return np.exp(self.log_joint(x) - self.log_likelihood(x)[:, None])
+        return self.expected(x)[0]
 
-    def log_likelihood(self, x: np.ndarray) -> np.ndarray:
+    def expected(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(memberships, log-likelihood) of every row."""
         joint = self.log_joint(x)
         top = joint.max(axis=1)
-        return top + np.log(np.exp(joint - top[:, None]).sum(axis=1))
+        level = top + np.log(np.exp(joint - top[:, None]).sum(axis=1))
+        return np.exp(joint - level[:, None]), level
+
+    def log_likelihood(self, x: np.ndarray) -> np.ndarray:
+        return self.expected(x)[1]
 
     def bic(self, total_log_likelihood: float, n: int) -> float:
         k, d = self.means.shape
@@ -67,16 +72,17 @@ def _sums(data: DataFrame, fits: Fits, hard: bool = False) -> dict[tuple[int, in
                 continue
             labels = batch.column("label").to_numpy(zero_copy_only=False)
             x_all = np.asarray(batch.column("vec").flatten(), dtype=float).reshape(batch.num_rows, -1)
+            own = {label: x_all[labels == label] for label in {label for label, _ in fits}}
             for (label, size), m in fits.items():
-                x = x_all[labels == label]
+                x = own[label]
                 if not len(x):
                     continue
-                share = m.memberships(x)
+                share, level = m.expected(x)
                 if hard:
                     # Nearest centre: equal weights and unit variances make it the likeliest.
                     share = (share == share.max(axis=1, keepdims=True)).astype(float)
                     share /= share.sum(axis=1, keepdims=True)
-                new = [share.sum(axis=0), share.T @ x, share.T @ x**2, m.log_likelihood(x).sum()]
+                new = [share.sum(axis=0), share.T @ x, share.T @ x**2, level.sum()]
                 old = held.get((label, size))
                 held[(label, size)] = new if old is None else [a + b for a, b in zip(old, new)]
         rows = []

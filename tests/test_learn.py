@@ -161,3 +161,14 @@ def test_a_query_fits_its_models_on_one_table(spark, rows, monkeypatch):
     again = learn_q.fitted_models(spark, "one table", [*wanted, "Logistic Regression"], settings=FAST)
     assert calls == [wanted, ["Logistic Regression"]] and all(again[n] is first[n] for n in wanted)
     assert all(list(s.models) == [n] for n, s in again.items())
+
+
+def test_a_step_works_densities_out_once(monkeypatch):
+    m, calls, plain = mixture.Mixture(np.array([0.4, 0.6]), np.array([[0.0, 1.0], [2.0, -1.0]]), np.array([[1.0, 2.0], [0.5, 1.0]])), [], mixture.Mixture.log_joint
+    x = np.random.default_rng(2).normal(size=(50, 2))
+    joint = m.log_joint(x)
+    monkeypatch.setattr(mixture.Mixture, "log_joint", lambda self, x: calls.append(len(x)) or plain(self, x))
+    share, level = m.expected(x)
+    assert calls == [50] and (m.memberships(x) == share).all() and (m.log_likelihood(x) == level).all()
+    assert level == pytest.approx(np.log(np.exp(joint).sum(axis=1))) and share.sum(axis=1) == pytest.approx(np.ones(50))
+    assert share == pytest.approx(np.exp(joint - level[:, None]))
